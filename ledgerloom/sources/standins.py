@@ -211,7 +211,7 @@ _add("po_line_locations_all", """
            cast(qty AS decimal(18,2)) AS quantity, cast(qty AS decimal(18,2)) AS quantity_accepted,
            cast(qty % 2 AS decimal(18,2)) AS quantity_received, cast(qty % 3 AS decimal(18,2)) AS quantity_billed,
            cast(0 AS decimal(18,2)) AS quantity_rejected, cast(0 AS decimal(18,2)) AS quantity_cancelled,
-           CASE WHEN line_id % 6 = 0 THEN cast(1 AS decimal(18,2)) ELSE cast(price / 4 AS decimal(18,2)) END AS tax_exclusive_price,
+           CASE WHEN line_id % 6 = 0 THEN cast(1 AS decimal(18,2)) ELSE cast(price * cast(0.25 AS decimal(3,2)) AS decimal(18,2)) END AS tax_exclusive_price,
            CASE WHEN line_id % 5 = 0 THEN 'ea' WHEN line_id % 5 = 1 THEN NULL ELSE 'hr' END AS uom_code,
            'GST 15' AS input_tax_classification_code,
            CASE WHEN line_id % 2 = 0 THEN 'Y' ELSE 'N' END AS receipt_required_flag, ship AS need_by_date
@@ -297,7 +297,7 @@ _LIN = """SELECT line_id AS po_line_id, l_orderkey AS po_header_id, l_linenumber
               'Item ' || cast(part AS string) AS item_description, cast(NULL AS string) AS item_revision,
               'V' || cast(supp AS string) AS vendor_product_num, cast(l_linenumber % 3 AS bigint) AS line_type_id,
               cast(qty AS decimal(18,2)) AS shipping_uom_quantity, cast(qty AS decimal(18,2)) AS base_qty,
-              'ea' AS base_uom, 'hr' AS uom_code, cast(price / 10 AS decimal(18,2)) AS unit_price, """
+              'ea' AS base_uom, 'hr' AS uom_code, cast(price * cast(0.1 AS decimal(2,1)) AS decimal(18,2)) AS unit_price, """
 _add("po_lines_archive_all", _union(
     _LIN + """'N' AS cancel_flag, 'I' AS entity_change_type_code, CASE WHEN l_linenumber % 5 = 4 THEN 1 ELSE 0 END AS from_co_seq,
               CASE WHEN l_linenumber % 5 = 1 THEN 1 ELSE 9999999 END AS to_co_seq FROM {li}""",
@@ -306,7 +306,7 @@ _add("po_lines_archive_all", _union(
 _add("po_line_locations_archive_all", _union(
     """SELECT line_id AS line_location_id, line_id AS po_line_id, l_orderkey AS po_header_id, price AS assessable_value,
               0 AS from_co_seq, CASE WHEN l_linenumber % 3 = 2 THEN 2 ELSE 9999999 END AS to_co_seq FROM {li}""",
-    """SELECT line_id, line_id, l_orderkey, price + 100, 2, 9999999 FROM {li} WHERE l_linenumber % 3 = 2"""))
+    """SELECT line_id, line_id, l_orderkey, cast(price + 100 AS decimal(18,2)), 2, 9999999 FROM {li} WHERE l_linenumber % 3 = 2"""))
 _add("po_distributions_archive_all", _union(
     """SELECT line_id AS line_location_id, line_id AS po_line_id, l_orderkey AS po_header_id, part AS code_combination_id,
               supp AS deliver_to_person_id, 0 AS from_co_seq,
@@ -345,7 +345,7 @@ _add("gl_je_headers", """
 _add("gl_je_lines", f"""
     SELECT l_orderkey AS je_header_id, l_linenumber AS je_line_num, part AS code_combination_id,
            CASE WHEN line_id % 5 = 0 THEN NULL ELSE price END AS entered_dr,
-           CASE WHEN line_id % 5 = 1 THEN cast(price / 2 AS decimal(18,2)) WHEN line_id % 5 = 2 THEN NULL
+           CASE WHEN line_id % 5 = 1 THEN cast(price * cast(0.5 AS decimal(2,1)) AS decimal(18,2)) WHEN line_id % 5 = 2 THEN NULL
                 ELSE cast(0 AS decimal(18,2)) END AS entered_cr, 'NZD' AS currency_code,
            CASE rf WHEN 'R' THEN 'U' ELSE 'P' END AS status, {_login("line_id")} AS created_by,
            'Line' || chr(13) || chr(10) || cast(part AS string) AS description,
