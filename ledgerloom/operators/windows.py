@@ -28,6 +28,19 @@ def numbered_slots(prefix: str, c: str, n: int) -> dict[str, tuple[str, Sequence
     return {f"{prefix}{i}": (c, [i]) for i in range(1, n + 1)}
 
 
+def first_slots(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, groups: Sequence[str],
+                slots: Mapping[str, tuple[str, Sequence[int]]]) -> DataFrame:
+    """Number rows within ``keys``, spread the first ``n`` over columns, one row per ``groups`` value.
+
+    ``groups`` may be finer than ``keys``: a value that owns none of the first rows still gets its
+    row, with empty slots.
+    """
+    first = top_n(df, keys, [F.asc_nulls_last(o) for o in order], n, "_n")
+    if list(groups) != list(keys):
+        first = first.unionByName(df.select(*groups).distinct(), allowMissingColumns=True)
+    return slot_pivot(first, groups, "_n", slots)
+
+
 def halo_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], depth: int,
                 exprs: Mapping[str, Callable[[WindowSpec], Column]], chunk: Column | None = None) -> DataFrame:
     """Window expressions that look back at most ``depth`` rows within ``keys``.
