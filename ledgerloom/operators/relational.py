@@ -105,7 +105,7 @@ def left_lookup(df: DataFrame, right: DataFrame, on: Sequence[Pair], take: dict[
 
 def list_values(df: DataFrame, *cols: str | Column, order: Sequence[str | Column] | None = None) -> DataFrame:
     """Distinct values for a parameter list, NULL last."""
-    out = df.select(*cols).distinct()
+    out = df.select(*(cols or df.columns)).distinct()
     keys = order if order is not None else out.columns
     return out.orderBy(*(F.asc_nulls_last(k) if isinstance(k, str) else k for k in keys))
 
