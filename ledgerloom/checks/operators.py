@@ -240,15 +240,10 @@ _LINE_SQL = "(SELECT l.*, h.segment1 AS po FROM {po_lines_all} l JOIN {po_header
 _ON = "(c.pk1 = b.from_header_id AND c.pk2 = b.from_line_id) OR c.pk1 = b.contract_id OR (c.doc = b.po AND c.doc_line = b.line_num)"
 
 
-def _order_lines(s: Source) -> DataFrame:
-    heads = s.scan("po_headers_all", "po_header_id segment1:purchase_order_number")
-    return s.scan("po_lines_all", "po_header_id po_line_id line_num:po_line_number contract_id from_header_id from_line_id").join(heads, "po_header_id")
-
-
-register("contract_match", lambda s: K.match_contracts(_order_lines(s), K.contract_lines(s)).select("po_line_id", "contract_number", "line_id"),
+register("contract_match", lambda s: K.match_contracts(K.order_line_links(s), K.contract_lines(s)).select("po_line_id", "contract_number", "line_id"),
          f"WITH {contracts(True)} SELECT b.po_line_id, c.contract_number, c.line_id FROM {_LINE_SQL} LEFT JOIN contract c ON {_ON}")
-register("contract_exists", lambda s: K.match_contracts(_order_lines(s), K.contract_lines(s), "left_semi").select("po_line_id", F.lit(True).alias("known"))
-         .unionByName(K.match_contracts(_order_lines(s), K.contract_lines(s), "left_anti").select("po_line_id", F.lit(False).alias("known"))),
+register("contract_exists", lambda s: K.match_contracts(K.order_line_links(s), K.contract_lines(s), "left_semi").select("po_line_id", F.lit(True).alias("known"))
+         .unionByName(K.match_contracts(K.order_line_links(s), K.contract_lines(s), "left_anti").select("po_line_id", F.lit(False).alias("known"))),
          f"WITH {contracts(True)} SELECT b.po_line_id, EXISTS (FROM contract c WHERE {_ON}) AS known FROM {_LINE_SQL}")
 register("semi_keys", lambda s: R.semi(s.table("customer"), s.table("orders").filter(F.col("o_orderpriority") == "1-URGENT"), [("c_custkey", "o_custkey")]),
          "SELECT * FROM {customer} WHERE c_custkey IN (SELECT o_custkey FROM {orders} WHERE o_orderpriority = '1-URGENT')")

@@ -18,26 +18,38 @@ def _matches(pairs: Sequence[Pair]) -> Column:
 
 
 def or_equi_join(left: DataFrame, right: DataFrame, alternatives: Sequence[Sequence[Pair]],
-                 left_key: Sequence[str], how: str = "left") -> DataFrame:
-    """Join on "any of these equalities", as a union of equi-joins instead of a nested loop.
+                 left_key: Sequence[str], how: str = "left", probes: DataFrame | None = None) -> DataFrame:
+    """Join on "any of these equalities" as one equi-join instead of a nested loop.
 
     ``alternatives`` lists the conditions, each a set of (left column, right column) pairs; the
-    column names of both sides must differ.  Only the key and the compared columns of the left
-    side take part in the searches.  A pair is taken by the first alternative it satisfies, so no
-    duplicate arises and no de-duplication is needed.  ``how``: inner, left, left_semi, left_anti.
+    column names of both sides must differ.  Each side gives one search row per alternative whose
+    columns are all known: its number and its key.  These rows meet in a single shuffled (or, if
+    the right side proves small, broadcast) join.  A pair is taken only by the first alternative it
+    satisfies, so no duplicate arises and no de-duplication is needed.
+
+    Only ``left_key`` and the compared columns of the left side take part in the search.  They are
+    read from ``probes`` if given, a cheaper frame that covers the keys of ``left``.
+    ``how``: inner, left, left_semi, left_anti.
     """
     compared = list(dict.fromkeys([*left_key, *(a for pairs in alternatives for a, _ in pairs)]))
-    probes = left.select(*compared).distinct()
     semi = how in ("left_semi", "left_anti")
+    asked = (left if probes is None else probes).select(*compared).distinct()
     target = right.select(*dict.fromkeys(b for pairs in alternatives for _, b in pairs)).distinct() if semi else right
-    found = None
+
+    def searches(df: DataFrame, side: int, tag: str) -> DataFrame:
+        keys = [F.struct(F.lit(i).alias("alt"), F.concat(*(
+            part for pair in pairs for part in (F.col(pair[side]).cast("string"), F.lit("\x1f")))).alias("key"))
+            for i, pairs in enumerate(alternatives)]
+        rows = df.select("*", F.explode(F.filter(F.array(*keys), lambda k: k["key"].isNotNull())).alias("_s"))
+        return rows.select("*", F.col("_s.alt").alias(f"_{tag}_alt"), F.col("_s.key").alias(f"_{tag}_key")).drop("_s")
+
+    hit = searches(asked, 0, "l").join(
+        searches(target, 1, "r"), (F.col("_l_alt") == F.col("_r_alt")) & (F.col("_l_key") == F.col("_r_key")))
+    first = None
     for i, pairs in enumerate(alternatives):
-        hit = probes.join(target, _matches(pairs), "left_semi" if semi else "inner")
-        if not semi:
-            for earlier in alternatives[:i]:
-                hit = hit.filter(~F.coalesce(_matches(earlier), F.lit(False)))
-        hit = hit.select(*(F.col(k).alias(f"_k_{k}") for k in left_key), *([] if semi else right.columns))
-        found = hit if found is None else found.unionByName(hit)
+        first = F.when(_matches(pairs), i) if first is None else first.when(_matches(pairs), i)
+    found = hit.filter(first == F.col("_l_alt")).select(
+        *(F.col(k).alias(f"_k_{k}") for k in left_key), *([] if semi else right.columns))
     on = None
     for k in left_key:
         eq = F.col(k) == F.col(f"_k_{k}")

@@ -54,6 +54,13 @@ def contract_lines(src: Source, either_id: bool = True) -> DataFrame:
                     F.coalesce("line_amount", "agreed_amount").alias("contract_line_amount"), "purchasing_category_id"))
 
 
-def match_contracts(orders: DataFrame, contracts: DataFrame, how: str = "left") -> DataFrame:
+def order_line_links(src: Source) -> DataFrame:
+    """Of each order line, what may link it to a contract."""
+    heads = src.scan("po_headers_all", "po_header_id segment1:purchase_order_number")
+    lines = src.scan("po_lines_all", "po_header_id po_line_id line_num:po_line_number contract_id from_header_id from_line_id")
+    return lines.join(heads, "po_header_id")
+
+
+def match_contracts(orders: DataFrame, contracts: DataFrame, how: str = "left", probes: DataFrame | None = None) -> DataFrame:
     """Order lines (by ``po_line_id``) with the contracts they draw on."""
-    return or_equi_join(orders, contracts, CONTRACT_LINKS, ["po_line_id"], how)
+    return or_equi_join(orders, contracts, CONTRACT_LINKS, ["po_line_id"], how, probes)

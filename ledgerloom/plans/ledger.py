@@ -11,6 +11,7 @@ from ledgerloom.functions import amounts as A, dates as D, text as X
 from ledgerloom.functions.params import Params, optional_between
 from ledgerloom.operators.relational import left_lookup
 from ledgerloom.plans.invoices import approved_invoice_lines
+from ledgerloom.session import cut
 from ledgerloom.sources.catalog import Source
 
 PAYABLES, RECEIVABLES, ASSETS, RECEIVING, CASH = 200, 222, 140, 10096, 260
@@ -172,7 +173,9 @@ def mixed_entry_lines(entries: DataFrame) -> DataFrame:
 
 def order_invoice_amounts(src: Source) -> DataFrame:
     """Invoice documents by entry line: a line that mixes orders is split by distribution."""
-    entries = invoice_entries(src)
+    entries = cut(invoice_entries(src).select(
+        "invoice_id", "ae_header_id", "ae_line_num", "po_header_id", "vendor_id", "entry_link", "unrounded_entered_dr", "unrounded_entered_cr",
+        "entered_dr", "entered_cr", "created_by", "invoice_desc"))
     orders = src.scan("po_headers_all", "po_header_id segment1:po_number")
     sellers = src.scan("poz_suppliers_v", "vendor_id vendor_name segment1:vendor_num")
 

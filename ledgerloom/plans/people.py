@@ -13,6 +13,7 @@ from ledgerloom.operators.temporal import as_of, as_of_join, overlaps, valid_at
 from ledgerloom.operators.tree import flatten_tree
 from ledgerloom.operators.windows import dense_rank_global, first_slots, numbered_slots
 from ledgerloom.plans.recruitment import open_requisitions
+from ledgerloom.session import cut
 from ledgerloom.site import DEFAULT_SITE, Site
 from ledgerloom.sources.catalog import Source
 
@@ -454,30 +455,36 @@ def ethnicities(src: Source) -> DataFrame:
 def _workforce_columns(df: DataFrame, src: Source, at: Column | str, site: Site) -> DataFrame:
     """The columns both halves of the return share.  ``at`` is the window's end for current staff,
     or the name of the leaving-date column."""
-    def looked_up(frame: DataFrame, table: DataFrame, keys: list, value: str, name: str) -> DataFrame:
-        if isinstance(at, Column):
-            return lookup_one(frame, as_of(table, at), keys, value, name)
-        wanted = frame.select(*(F.col(a).alias(f"_w{i}") for i, (a, _) in enumerate(keys)), at).distinct()
-        side = table.withColumnsRenamed({b: f"_w{i}" for i, (_, b) in enumerate(keys)})
-        valid = as_of_join(wanted, side, [f"_w{i}" for i in range(len(keys))], at).withColumnRenamed(at, "_at")
-        return lookup_one(frame, valid, [*((a, f"_w{i}") for i, (a, _) in enumerate(keys)), (at, "_at")], value, name)
-
     span = ["effective_start_date", "effective_end_date"]
-    sexes = src.table("per_people_legislative_f").select("person_id", C.gender_code(F.col("sex")).alias("g"), *span)
-    measures = src.table("per_assign_work_measures_f").filter(F.col("unit") == "FTE").select("assignment_id", "value", *span)
-    people = src.table("per_people_f").select("person_id", "person_number", *span)
-    bosses = src.table("per_all_assignments_m").filter(F.col("assignment_type") == "E").select("assignment_id", "position_id", *span)
+
+    def valid(side: DataFrame, base: DataFrame) -> DataFrame:
+        """Rows of ``side`` valid at the fixed date, or at the dates of ``base`` (with ``_at``)."""
+        return as_of(side, at) if isinstance(at, Column) else as_of_join(base, side, ["_key"], "_at")
+
+    def keys_of(c: str) -> DataFrame | None:
+        return None if isinstance(at, Column) else df.select(F.col(c).alias("_key"), F.col(at).alias("_at")).filter("_key IS NOT NULL").distinct()
+
+    def looked_up(frame: DataFrame, c: str, side: DataFrame, value: str, name: str) -> DataFrame:
+        keys = [(c, "_key")] if isinstance(at, Column) else [(c, "_key"), (at, "_at")]
+        return lookup_one(frame, side, keys, value, name)
+
+    sexes = src.table("per_people_legislative_f").select(F.col("person_id").alias("_key"), C.gender_code(F.col("sex")).alias("g"), *span)
+    measures = src.table("per_assign_work_measures_f").filter(F.col("unit") == "FTE").select(F.col("assignment_id").alias("_key"), "value", *span)
+    people = src.table("per_people_f").select(F.col("person_id").alias("_key"), "person_number", *span)
+    bosses = (src.table("per_all_assignments_m").filter(F.col("assignment_type") == "E")
+              .select(F.col("assignment_id").alias("_key"), "position_id", *span))
     roles = src.table("hr_all_positions_f_vl").select("position_id", F.struct("name", "attribute4").alias("role"), *span)
+    led = valid(bosses, keys_of("manager_assignment_id")).drop(*span)
+    led = led.join(as_of(roles, at), "position_id") if isinstance(at, Column) else as_of_join(led, roles, ["position_id"], "_at")
     births = src.table("per_persons").select("person_id", D.dmy(F.col("date_of_birth"), "/").alias("b"))
-    df = looked_up(df, sexes, [("person_id", "person_id")], "g", "gender")
-    df = lookup_one(df, births, [("person_id", "person_id")], "b", "date_of_birth")
-    df = looked_up(df, measures, [("assignment_id", "assignment_id")], "value", "fte")
-    df = looked_up(df, people, [("manager_id", "person_id")], "person_number", "manager_number")
-    df = looked_up(df, bosses, [("manager_assignment_id", "assignment_id")], "position_id", "_boss_position")
-    df = looked_up(df, roles, [("_boss_position", "position_id")], "role", "_boss_role")
-    answers = ethnicities(src)
-    for c in ("e1", "e2", "e3"):
-        df = lookup_one(df, answers, [("person_id", "person_id")], c, f"_{c}")
+    answers = ethnicities(src).select("person_id", F.struct("e1", "e2", "e3").alias("answers"))
+    out = looked_up(df, "person_id", valid(sexes, keys_of("person_id")), "g", "gender")
+    out = looked_up(out, "assignment_id", valid(measures, keys_of("assignment_id")), "value", "fte")
+    out = looked_up(out, "manager_id", valid(people.withColumnRenamed("person_number", "n"), keys_of("manager_id")), "n", "manager_number")
+    out = looked_up(out, "manager_assignment_id", led, "role", "_boss_role")
+    out = lookup_one(out, births, [("person_id", "person_id")], "b", "date_of_birth")
+    df = lookup_one(out, answers, [("person_id", "person_id")], "answers", "_answers").withColumns(
+        {f"_e{i}": F.col(f"_answers.e{i}") for i in (1, 2, 3)})
     one, two, three = C.dedupe_answers(F.coalesce("_e1", F.lit(C.NOT_STATED)), F.col("_e2"), F.col("_e3"))
     return df.select(
         "person_id", "full_name", "person_number", D.dmy(F.col("date_start"), "/").alias("start_date"), "termination_date", "action_reason",
@@ -532,7 +539,7 @@ def gone_staff(src: Source, p: Params, site: Site = DEFAULT_SITE) -> DataFrame:
         valid_at(F.col(left_on), F.col("date_from"), F.col("date_to"), allow_missing=True))
     return _workforce_columns(df.withColumns({
         "termination_date": D.dmy(F.col(left_on), "/"), "terminationreason": C.leaving_reason(F.col("action_reason")),
-        "status": F.lit(6)}), src, left_on, site)
+        "status": F.lit(6)}).transform(cut), src, left_on, site)
 
 
 def workforce_return(src: Source, p: Params, site: Site = DEFAULT_SITE) -> DataFrame:

@@ -9,6 +9,7 @@ from ledgerloom.functions.params import Params
 from ledgerloom.operators.relational import exists_flag
 from ledgerloom.operators.temporal import OPEN_VERSION, as_of, version_as_of
 from ledgerloom.operators.windows import fill_previous
+from ledgerloom.session import cut
 from ledgerloom.sources.catalog import Source
 
 FILLED = ("category_id", "categorycode", "entity", "cost_centre", "cost_centre_group", "activity", "future", "natural_account")
@@ -113,7 +114,8 @@ def order_changes(src: Source, p: Params, versions_per_chunk: int = 64) -> DataF
     """Each document version with its changed lines; coding is carried forward to header-only changes."""
     heads = header_versions(src, p)
     lines = line_versions(src, p)
-    states = heads.join(lines, (F.col("po_header_id") == F.col("l_header")) & (F.col("version_id") == F.col("l_version")), "left")
+    # five branches below read the states: build them once
+    states = cut(heads.join(lines, (F.col("po_header_id") == F.col("l_header")) & (F.col("version_id") == F.col("l_version")), "left"))
     filled = fill_previous(states, {f"_fill_{c}": c for c in FILLED}, ["po_header_id"], ["co_num", "line_num", "code_combination_id"], 7,
                            chunk=F.floor(F.col("co_num") / versions_per_chunk))
     # a row without line status shows the carried values, any other row its own

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution splits hot join partitions; "force" lets it do so even when the
 # split costs one more shuffle, because a hot key may hold a large share of the rows.
@@ -45,3 +47,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = named or tempfile.mkdtemp(prefix="ledgerloom-checkpoint-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write an intermediate result once to the shared checkpoint folder and read it back.
+
+    For results that several branches of a plan use and that cost many joins to build.  The copy is
+    columnar, so each branch reads its own columns only, and it outlives lost executors.
+    """
+    path = os.path.join(ensure_checkpoint_dir(df.sparkSession), f"cut-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
