@@ -14,10 +14,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def register(name: str, run: Callable[[Source], DataFrame], oracle: str | None = None) -> None:
-    """``run`` gets the stand-in source; ``oracle`` names its tables in braces."""
+def register(name: str, run: Callable[[Source], DataFrame], oracle: str | None = None, written: tuple[str, ...] = ()) -> None:
+    """``run`` gets the stand-in source; ``oracle`` names its tables in braces; ``written`` stand-ins are built once."""
     def call(spark: SparkSession, folder: str) -> DataFrame:
-        return run(StandInSource(tune(spark), folder))
+        return run(StandInSource(tune(spark), folder, written))
 
     call.__name__ = name
     if name in QUERIES:

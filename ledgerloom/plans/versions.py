@@ -70,14 +70,16 @@ def changed_in_version(df: DataFrame, low: str, high: str, children: list[tuple[
 
     ``children``: archive frames with the column that links them to ``df``.
     """
-    keep = F.col(low) == F.col("co_sequence")
-    flags = []
-    for i, (child, key) in enumerate(children):
-        opened = child.filter(F.col("to_co_seq") == OPEN_VERSION)
-        df = exists_flag(df, opened, [(key, key), ("co_sequence", "from_co_seq")], f"_child{i}")
-        keep = keep | (F.col(f"_child{i}") & (F.col(high) == OPEN_VERSION))
-        flags.append(f"_child{i}")
-    return df.filter(keep).drop(*flags)
+    starts = F.col(low) == F.col("co_sequence")
+    opened: dict[str, DataFrame] = {}
+    for child, key in children:
+        rows = child.filter(F.col("to_co_seq") == OPEN_VERSION).select(key, "from_co_seq")
+        opened[key] = opened[key].unionByName(rows) if key in opened else rows
+    moved = F.lit(False)
+    for key, rows in opened.items():
+        df = exists_flag(df, rows, [(key, key), ("co_sequence", "from_co_seq")], f"_by_{key}")
+        moved = moved | F.col(f"_by_{key}")
+    return df.filter(starts | (moved & (F.col(high) == OPEN_VERSION))).drop(*(f"_by_{key}" for key in opened))
 
 
 def line_versions(src: Source, p: Params) -> DataFrame:
@@ -114,14 +116,14 @@ def order_changes(src: Source, p: Params, versions_per_chunk: int = 64) -> DataF
     """Each document version with its changed lines; coding is carried forward to header-only changes."""
     heads = header_versions(src, p)
     lines = line_versions(src, p)
-    # five branches below read the states: build them once
+    # several branches below read the states and the coding: build each once
     states = cut(heads.join(lines, (F.col("po_header_id") == F.col("l_header")) & (F.col("version_id") == F.col("l_version")), "left"))
     filled = fill_previous(states, {f"_fill_{c}": c for c in FILLED}, ["po_header_id"], ["co_num", "line_num", "code_combination_id"], 7,
                            chunk=F.floor(F.col("co_num") / versions_per_chunk))
     # a row without line status shows the carried values, any other row its own
     shown = filled.withColumns({f"_show_{c}": F.when(F.col("line_status").isNull(), F.col(f"_fill_{c}")).otherwise(F.col(c)) for c in FILLED})
-    coding = shown.select("po_header_id", "version_id", "co_num", F.col("line_num").alias("_line"), F.col("line_status").alias("_status"),
-                          *(F.col(f"_show_{c}").alias(f"_cc_{c}") for c in FILLED))
+    coding = cut(shown.select("po_header_id", "version_id", "co_num", F.col("line_num").alias("_line"), F.col("line_status").alias("_status"),
+                              *(F.col(f"_show_{c}").alias(f"_cc_{c}") for c in FILLED)))
     key = ["po_header_id", "version_id", "co_num"]
     by_line = coding.filter(F.col("_status").isNotNull()).drop("_status").withColumnRenamed("_line", "line_num")
     by_head = (coding.filter(F.col("_status").isNull()).drop("_status", "_line")

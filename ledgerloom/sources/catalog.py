@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ledgerloom.session import cut
 from ledgerloom.sources.standins import RAW_TABLES, STANDINS, references
 
 
@@ -73,11 +74,14 @@ class FrameSource(Source):
 
 
 class StandInSource(Source):
-    """Report tables derived from the test tables in ``folder``."""
+    """Report tables derived from the test tables in ``folder``.
 
-    def __init__(self, spark: SparkSession, folder: str):
+    ``written`` names tables to build once and read back, for reports that derive many tables from them.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, written: tuple[str, ...] = ()):
         super().__init__(spark)
-        self.folder = folder
+        self.folder, self.written = folder, written
         self._made: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -87,7 +91,7 @@ class StandInSource(Source):
             else:
                 sql = STANDINS[name]
                 made = self.spark.sql(sql, **{ref: self.table(ref) for ref in references(sql)})
-            self._made[name] = made
+            self._made[name] = cut(made) if name in self.written else made
         return self._made[name]
 
     def query(self, sql: str) -> DataFrame:
