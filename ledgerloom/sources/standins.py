@@ -390,7 +390,10 @@ _add("xla_distribution_links", """
            invoice_id AS applied_to_source_id_num_1, 'ITEM EXPENSE' AS rounding_class_code,
            cast(price AS decimal(28,10)) AS unrounded_entered_dr, cast(NULL AS decimal(28,10)) AS unrounded_entered_cr
     FROM {li}""")
-_add("fnd_doc_sequence_categories", "SELECT 'STD' AS code, 'Standard document' AS description FROM {region} WHERE r_regionkey = 0")
+_add("fnd_doc_sequence_categories", """
+    SELECT CASE r_regionkey WHEN 0 THEN 'STD' ELSE r_name END AS code,
+           CASE r_regionkey WHEN 0 THEN 'Standard document' ELSE 'Documents of ' || r_name END AS description
+    FROM {region}""")
 _add("hz_orig_sys_references", """
     SELECT -1 - c_custkey AS owner_table_id, cast(c_custkey AS string) AS orig_system_reference,
            CASE WHEN c_custkey % 8 = 0 THEN 'LEGACY' ELSE 'FUSION_HCM' END AS orig_system, 'HZ_PARTIES' AS owner_table_name
@@ -487,14 +490,15 @@ _add("per_position_hierarchy_f", f"""
            CASE WHEN p_partkey % 14 = 0 THEN date '1996-12-31' ELSE {FOREVER} END AS effective_end_date
     FROM {{part}} WHERE p_partkey > 0""")
 _TREE = "'GL_ACCT_FLEX' AS tree_structure_code, 'ORG COST CENTER' AS tree_code, "
+# the version number is computed per row: a constant column would turn the joins on it into plain filters
 _add("fnd_tree_node", _union(*(part for v in (1, 2) for part in (
     f"""SELECT r_regionkey + {1000 * v} AS tree_node_id, cast(NULL AS int) AS parent_tree_node_id, 0 AS depth,
-               'R' || cast(r_regionkey AS string) AS pk1_start_value, {_TREE} {v} AS tree_version_id FROM {{region}}""",
+               'R' || cast(r_regionkey AS string) AS pk1_start_value, {_TREE} r_regionkey * 0 + {v} AS tree_version_id FROM {{region}}""",
     f"""SELECT n_nationkey + {1000 * v + 100}, n_regionkey + {1000 * v},
                CASE WHEN n_nationkey % 3 = 1 THEN 2 ELSE 1 END,
-               CASE WHEN n_nationkey % 3 = 1 THEN 'CC' ELSE 'G' END || cast(n_nationkey AS string), {_TREE} {v} FROM {{nation}}""",
+               CASE WHEN n_nationkey % 3 = 1 THEN 'CC' ELSE 'G' END || cast(n_nationkey AS string), {_TREE} n_nationkey * 0 + {v} FROM {{nation}}""",
     f"""SELECT n_nationkey + {1000 * v + 200}, n_nationkey + {1000 * v + 100}, 2,
-               'CC' || cast(n_nationkey AS string), {_TREE} {v} FROM {{nation}} WHERE n_nationkey % 3 = 0"""))))
+               'CC' || cast(n_nationkey AS string), {_TREE} n_nationkey * 0 + {v} FROM {{nation}} WHERE n_nationkey % 3 = 0"""))))
 _add("fnd_tree_version_vl", f"""
     SELECT r_regionkey AS tree_version_id, CASE r_regionkey WHEN 1 THEN 'ACTIVE' ELSE 'DRAFT' END AS status, {_TREE}
            {_FROM0}, {_TO9}
