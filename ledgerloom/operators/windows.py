@@ -42,45 +42,59 @@ def first_slots(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int
 
 
 def halo_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], depth: int,
-                exprs: Mapping[str, Callable[[WindowSpec], Column]], chunk: Column | None = None) -> DataFrame:
-    """Window expressions that look back at most ``depth`` rows within ``keys``.
+                exprs: Mapping[str, Callable[[WindowSpec], Column]], reads: Sequence[str], chunk: Column | None = None) -> DataFrame:
+    """Window expressions over the columns ``reads`` that look back at most ``depth`` rows within ``keys``.
+
+    The expressions may use ``_at``, the row's number in its window.
 
     ``chunk`` must rise with the order.  It cuts a group into pieces that are windowed apart;
     each piece gets the last ``depth`` rows before it as a halo, so results are those of the
     uncut window.  Every non-empty piece has at least one row, so the halo lies in the ``depth``
-    pieces before it.
+    pieces before it.  Only groups that fall into several pieces take part in building the halos.
     """
     def spec(part: Sequence[str]) -> WindowSpec:
         return Window.partitionBy(*part).orderBy(*(F.asc_nulls_last(o) for o in order))
 
+    def evaluated(rows: DataFrame, w: WindowSpec) -> DataFrame:
+        numbered = rows.withColumn("_at", F.row_number().over(w))
+        return numbered.withColumns({name: make(w) for name, make in exprs.items()}).drop("_at")
+
     if chunk is None:
-        w = spec(keys)
-        return df.withColumns({name: make(w) for name, make in exprs.items()})
+        return evaluated(df, spec(keys))
 
     parts = [*keys, "_chunk"]
-    cut = df.withColumn("_chunk", chunk)
+    whole = df.withColumn("_chunk", chunk)
+    carried = list(dict.fromkeys([*keys, *order, *reads]))
+    narrow = whole.select(*carried, "_chunk")
+    several = (narrow.groupBy(*keys).agg(F.min("_chunk").alias("_low"), F.max("_chunk").alias("_high"))
+               .filter(F.col("_low") < F.col("_high")).select(*keys))
     back = Window.partitionBy(*parts).orderBy(*(F.desc_nulls_first(o) for o in order))
-    tails = (cut.withColumn("_back", F.row_number().over(back)).filter(F.col("_back") <= depth)
+    tails = (narrow.join(several, list(keys), "left_semi").withColumn("_back", F.row_number().over(back)).filter(F.col("_back") <= depth)
              .groupBy(*parts).agg(F.sort_array(F.collect_list(
-                 F.struct((-F.col("_back")).alias("_at"), F.struct(*df.columns).alias("_row")))).alias("_tail")))
+                 F.struct((-F.col("_back")).alias("_at"), F.struct(*carried).alias("_row")))).alias("_tail")))
     before = Window.partitionBy(*keys).orderBy(F.asc_nulls_last("_chunk")).rowsBetween(-depth, -1)
     halo = (tails.withColumn("_halo", F.flatten(F.collect_list("_tail").over(before)))
             .filter(F.size("_halo") > 0)
-            .select(*parts, F.explode(F.slice("_halo", F.greatest(F.lit(1), F.size("_halo") - (depth - 1)), depth)).alias("_h"))
+            .select("_chunk", F.explode(F.slice("_halo", F.greatest(F.lit(1), F.size("_halo") - (depth - 1)), depth)).alias("_h"))
             .select("_h._row.*", "_chunk", F.lit(True).alias("_is_halo")))
-    w = spec(parts)
-    return (cut.withColumn("_is_halo", F.lit(False)).unionByName(halo)
-            .withColumns({name: make(w) for name, make in exprs.items()})
-            .filter(~F.col("_is_halo")).drop("_chunk", "_is_halo"))
+    fed = whole.withColumn("_is_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
+    return evaluated(fed, spec(parts)).filter(~F.col("_is_halo")).drop("_chunk", "_is_halo")
 
 
 def fill_previous(df: DataFrame, cols: Mapping[str, str], keys: Sequence[str], order: Sequence[str],
                   within: int = 7, chunk: Column | None = None) -> DataFrame:
     """New column -> source column: the nearest known value of this row or the ``within`` rows before."""
+    # A running "last known value with its row number" costs one step per row; a sliding frame would
+    # go through the whole frame again for every row.
     def filler(c: str) -> Callable[[WindowSpec], Column]:
-        return lambda w: F.last(c, ignorenulls=True).over(w.rowsBetween(-within, 0))
+        known = F.when(F.col(c).isNotNull(), F.struct(F.col("_at").alias("at"), F.col(c).alias("value")))
+
+        def make(w: WindowSpec) -> Column:
+            last = F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+            return F.when(F.col("_at") - last["at"] <= within, last["value"])
+        return make
 
-    return halo_window(df, keys, order, within, {name: filler(c) for name, c in cols.items()}, chunk)
+    return halo_window(df, keys, order, within, {name: filler(c) for name, c in cols.items()}, list(cols.values()), chunk)
 
 
 def lag_steps(df: DataFrame, c: str, keys: Sequence[str], order: Sequence[str], steps: int,
@@ -88,7 +102,7 @@ def lag_steps(df: DataFrame, c: str, keys: Sequence[str], order: Sequence[str],
     def step(i: int) -> Callable[[WindowSpec], Column]:
         return lambda w: F.lag(c, i).over(w)
 
-    return halo_window(df, keys, order, steps, {f"{prefix}{i}": step(i) for i in range(1, steps + 1)}, chunk)
+    return halo_window(df, keys, order, steps, {f"{prefix}{i}": step(i) for i in range(1, steps + 1)}, [c], chunk)
 
 
 def global_row_number(df: DataFrame, order: Sequence[str], name: str = "row_num", start: int = 0) -> DataFrame:
