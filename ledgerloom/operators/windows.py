@@ -42,7 +42,8 @@ def first_slots(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int
 
 
 def halo_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], depth: int,
-                exprs: Mapping[str, Callable[[WindowSpec], Column]], reads: Sequence[str], chunk: Column | None = None) -> DataFrame:
+                exprs: Mapping[str, Callable[[WindowSpec], Column]], reads: Sequence[str], chunk: Column | None = None,
+                group_rows: int = 0) -> DataFrame:
     """Window expressions over the columns ``reads`` that look back at most ``depth`` rows within ``keys``.
 
     The expressions may use ``_at``, the row's number in its window.
@@ -51,6 +52,7 @@ def halo_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], depth:
     each piece gets the last ``depth`` rows before it as a halo, so results are those of the
     uncut window.  Every non-empty piece has at least one row, so the halo lies in the ``depth``
     pieces before it.  Only groups that fall into several pieces take part in building the halos.
+    With ``group_rows`` the groups are counted first, and nothing is cut if none has more rows.
     """
     def spec(part: Sequence[str]) -> WindowSpec:
         return Window.partitionBy(*part).orderBy(*(F.asc_nulls_last(o) for o in order))
@@ -59,7 +61,7 @@ def halo_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], depth:
         numbered = rows.withColumn("_at", F.row_number().over(w))
         return numbered.withColumns({name: make(w) for name, make in exprs.items()}).drop("_at")
 
-    if chunk is None:
+    if chunk is None or (group_rows and df.groupBy(*keys).count().filter(F.col("count") > group_rows).isEmpty()):
         return evaluated(df, spec(keys))
 
     parts = [*keys, "_chunk"]
@@ -69,7 +71,7 @@ def halo_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], depth:
     several = (narrow.groupBy(*keys).agg(F.min("_chunk").alias("_low"), F.max("_chunk").alias("_high"))
                .filter(F.col("_low") < F.col("_high")).select(*keys))
     back = Window.partitionBy(*parts).orderBy(*(F.desc_nulls_first(o) for o in order))
-    tails = (narrow.join(several, list(keys), "left_semi").withColumn("_back", F.row_number().over(back)).filter(F.col("_back") <= depth)
+    tails = (narrow.join(several, list(keys), "left_semi").repartition(*parts).withColumn("_back", F.row_number().over(back)).filter(F.col("_back") <= depth)
              .groupBy(*parts).agg(F.sort_array(F.collect_list(
                  F.struct((-F.col("_back")).alias("_at"), F.struct(*carried).alias("_row")))).alias("_tail")))
     before = Window.partitionBy(*keys).orderBy(F.asc_nulls_last("_chunk")).rowsBetween(-depth, -1)
@@ -77,12 +79,13 @@ def halo_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], depth:
             .filter(F.size("_halo") > 0)
             .select("_chunk", F.explode(F.slice("_halo", F.greatest(F.lit(1), F.size("_halo") - (depth - 1)), depth)).alias("_h"))
             .select("_h._row.*", "_chunk", F.lit(True).alias("_is_halo")))
-    fed = whole.withColumn("_is_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
+    # partitioned by piece even where the input already lies partitioned by key
+    fed = whole.withColumn("_is_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True).repartition(*parts)
     return evaluated(fed, spec(parts)).filter(~F.col("_is_halo")).drop("_chunk", "_is_halo")
 
 
 def fill_previous(df: DataFrame, cols: Mapping[str, str], keys: Sequence[str], order: Sequence[str],
-                  within: int = 7, chunk: Column | None = None) -> DataFrame:
+                  within: int = 7, chunk: Column | None = None, group_rows: int = 0) -> DataFrame:
     """New column -> source column: the nearest known value of this row or the ``within`` rows before."""
     # A running "last known value with its row number" costs one step per row; a sliding frame would
     # go through the whole frame again for every row.
@@ -94,7 +97,7 @@ def fill_previous(df: DataFrame, cols: Mapping[str, str], keys: Sequence[str], o
             return F.when(F.col("_at") - last["at"] <= within, last["value"])
         return make
 
-    return halo_window(df, keys, order, within, {name: filler(c) for name, c in cols.items()}, list(cols.values()), chunk)
+    return halo_window(df, keys, order, within, {name: filler(c) for name, c in cols.items()}, list(cols.values()), chunk, group_rows)
 
 
 def lag_steps(df: DataFrame, c: str, keys: Sequence[str], order: Sequence[str], steps: int,

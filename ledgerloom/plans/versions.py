@@ -121,7 +121,8 @@ def order_changes(src: Source, p: Params, lines_per_chunk: int = 10_000) -> Data
     coded = states.select("po_header_id", "version_id", "co_num", "line_num", "line_status", "code_combination_id", *FILLED)
     # an order of very many versions or lines is cut by version and line range
     piece = F.struct("co_num", F.coalesce(F.floor(F.col("line_num") / lines_per_chunk), F.lit(2**62)))
-    filled = fill_previous(coded, {f"_fill_{c}": c for c in FILLED}, ["po_header_id"], ["co_num", "line_num", "code_combination_id"], 7, piece)
+    filled = fill_previous(coded, {f"_fill_{c}": c for c in FILLED}, ["po_header_id"], ["co_num", "line_num", "code_combination_id"], 7, piece,
+                           group_rows=1_000_000)
     # a row without line status shows the carried values, any other row its own
     shown = filled.withColumns({f"_show_{c}": F.when(F.col("line_status").isNull(), F.col(f"_fill_{c}")).otherwise(F.col(c)) for c in FILLED})
     coding = cut(shown.select("po_header_id", "version_id", "co_num", F.col("line_num").alias("_line"), F.col("line_status").alias("_status"),

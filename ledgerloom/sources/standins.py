@@ -2,7 +2,8 @@
 
 Each entry is a SELECT that both Spark SQL and DuckDB accept, so a report and its
 oracle start from the same rows.  ``{name}`` stands for a test table or for another
-entry of this module.  Row counts follow the test tables: nothing here is sampled.
+entry of this module.  Row counts follow the test tables and every source row takes part;
+conditions on keys only give rows their variety (a second version, a leaver, a missing value).
 """
 
 from __future__ import annotations
