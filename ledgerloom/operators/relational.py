@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 Pair = tuple[str, str]
 
@@ -28,17 +28,26 @@ def or_equi_join(left: DataFrame, right: DataFrame, alternatives: Sequence[Seque
     satisfies, so no duplicate arises and no de-duplication is needed.
 
     Only ``left_key`` and the compared columns of the left side take part in the search.  They are
-    read from ``probes`` if given, a cheaper frame that covers the keys of ``left``.
+    read from ``probes`` if given, a cheaper frame with one row per key that covers the keys of ``left``.
     ``how``: inner, left, left_semi, left_anti.
     """
     compared = list(dict.fromkeys([*left_key, *(a for pairs in alternatives for a, _ in pairs)]))
     semi = how in ("left_semi", "left_anti")
-    asked = (left if probes is None else probes).select(*compared).distinct()
+    asked = left.select(*compared).distinct() if probes is None else probes.select(*compared)
     target = right.select(*dict.fromkeys(b for pairs in alternatives for _, b in pairs)).distinct() if semi else right
 
+    def as_key(pair: Pair, side: int) -> Column:
+        """Text that is equal where the two columns are equal, also if their number types differ."""
+        a, b = asked.schema[pair[0]].dataType, target.schema[pair[1]].dataType
+        c = F.col(pair[side])
+        if a != b and isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+            whole = isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType)
+            c = c.cast("bigint" if whole else "decimal(38,10)")
+        return c.cast("string")
+
     def searches(df: DataFrame, side: int, tag: str) -> DataFrame:
         keys = [F.struct(F.lit(i).alias("alt"), F.concat(*(
-            part for pair in pairs for part in (F.col(pair[side]).cast("string"), F.lit("\x1f")))).alias("key"))
+            part for pair in pairs for part in (as_key(pair, side), F.lit("\x1f")))).alias("key"))
             for i, pairs in enumerate(alternatives)]
         rows = df.select("*", F.explode(F.filter(F.array(*keys), lambda k: k["key"].isNotNull())).alias("_s"))
         return rows.select("*", F.col("_s.alt").alias(f"_{tag}_alt"), F.col("_s.key").alias(f"_{tag}_key")).drop("_s")

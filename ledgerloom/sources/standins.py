@@ -35,7 +35,8 @@ _add("li", """
     SELECT l_orderkey, l_linenumber,
            cast(sum(cast(l_extendedprice AS decimal(18,2))) AS decimal(18,2)) AS price,
            max(l_tax) AS tax, min(l_suppkey) AS supp, min(l_partkey) AS part,
-           min(cast(l_shipdate AS date)) AS ship, max(l_returnflag) AS rf,
+           min(cast(l_shipdate AS date)) AS ship,
+           CASE max(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END) WHEN 1 THEN 'A' WHEN 2 THEN 'N' ELSE 'R' END AS rf,
            cast(sum(l_quantity) AS bigint) AS qty,
            l_orderkey * 10 + l_linenumber AS line_id,
            CASE WHEN l_orderkey % 2 = 0 THEN l_orderkey

@@ -87,11 +87,18 @@ def test_or_join_equals_nested_loop(spark, how, seed):
     want = left.join(right, cond, how)
     got = R.or_equi_join(left, right, ALTERNATIVES, ["k"], how)
     assert rows(got, *want.columns) == rows(want)
-    probes = left.drop("i").distinct()
+    probes = left.drop("i").distinct()  # one row per key
     assert rows(R.or_equi_join(left, right, ALTERNATIVES, ["k"], how, probes), *want.columns) == rows(want)
     assert "NestedLoop" not in plan_of(got) and "Cartesian" not in plan_of(got)
 
 
+def test_or_join_across_number_types(spark):
+    left = spark.createDataFrame([(1, 5), (2, 6)], "k int, a int")
+    right = spark.createDataFrame([(5.0,), (7.0,)], "b double").select(F.col("b").cast("decimal(18,2)").alias("b"))
+    assert rows(R.or_equi_join(left, right, [[("a", "b")]], ["k"], "left_semi"), "k") == [(1,)]
+    assert rows(R.or_equi_join(left, right.select(F.col("b").cast("bigint").alias("b")), [[("a", "b")]], ["k"], "left_semi"), "k") == [(1,)]
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
