@@ -115,7 +115,7 @@ register("report_r16", lambda s: L.ledger_transactions(s, Params(
     LEFT JOIN booked i ON i.invoice_id = e.source_id_int_1 AND e.application_id = 200 AND e.entity_code = 'AP_INVOICES'
          AND i.ae_header_id = x.ae_header_id AND i.ae_line_num = a.ae_line_num
     LEFT JOIN docs t ON t.invoice_id = e.source_id_int_1 AND t.appl_id = e.application_id AND t.entity_code = e.entity_code
-    WHERE coalesce(x.accounting_date, h.default_effective_date) BETWEEN date '1996-01-01' AND date '2100-01-01'""")
+    WHERE coalesce(x.accounting_date, h.default_effective_date) BETWEEN date '1996-01-01' AND date '2100-01-01'""", written=("li", "inv"))
 
 # ---- order audit ----
 
@@ -182,7 +182,7 @@ register("report_r08", lambda s: V.order_changes(s, PLAIN), f"""
     LEFT JOIN (FROM filled WHERE line_status IS NOT NULL) cc
       ON (cc.po_header_id, cc.version_id, cc.co_num, cc.line_num) = (h.po_header_id, h.version_id, h.co_num, l.line_num)
     LEFT JOIN (FROM filled WHERE line_status IS NULL) c ON (c.po_header_id, c.version_id, c.co_num) = (h.po_header_id, h.version_id, h.co_num)
-    LEFT JOIN who n ON n.person_id = h.originator_id""")
+    LEFT JOIN who n ON n.person_id = h.originator_id""", written=("li", "po_versions"))
 
 # ---- alert ----
 

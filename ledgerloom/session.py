@@ -15,8 +15,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Parquet is several times smaller on disk than in memory: weigh that before a side is broadcast.
-    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.session.timeZone": "UTC",
 }
 
