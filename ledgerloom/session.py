@@ -39,11 +39,17 @@ def local_session(cores: str | int = "*", app: str = "ledgerloom", shuffle_parti
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names, or a private one where none is set (tests)."""
+    """The shared folder the session names; on a local master (tests) a private one where none is set.
+
+    On a cluster a folder of one machine is of no use to the others, so a missing setting is an error there.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not named and not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     folder = named or tempfile.mkdtemp(prefix="ledgerloom-checkpoint-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
