@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import mixing
+from ledgerloom.llm import mixing, near_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +24,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "repeats")
+
+
+@query
+def op2_near_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_join.near_join(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
