@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.session import cut
@@ -134,7 +135,7 @@ def streamed_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Itera
         change[0] = True
         for k in keys:
             values = table.column(k).combine_chunks()
-            change[1:] |= np.asarray(pa.compute.not_equal(values[1:], values[:-1]).to_numpy(zero_copy_only=False), bool)
+            change[1:] |= np.asarray(pc.not_equal(values[1:], values[:-1]).to_numpy(zero_copy_only=False), bool)
         starts = np.flatnonzero(change)
         for low, high in zip(starts, [*starts[1:], table.num_rows], strict=True):
             this = tuple(table.column(k)[int(low)].as_py() for k in keys)
