@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import mixing, near_join
+from ledgerloom.llm import mixing, near_join, pieces
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +29,11 @@ def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_near_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_join.near_join(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+@query
+def op3_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = pieces.Pieces.load(pieces.MODEL)
+    encoded = pieces.encode(table(spark, folder, "documents"), vocabulary)
+    return encoded.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).alias("n_ids"),
+                          F.unhex(F.md5(pieces.decode(F.col("ids"), vocabulary))).eqNullSafe(F.col("text_md5")).alias("round_trip"))
