@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import mixing, near_join, pieces
+from ledgerloom.llm import language, mixing, near_join, pieces
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +37,10 @@ def op3_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
     encoded = pieces.encode(table(spark, folder, "documents"), vocabulary)
     return encoded.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).alias("n_ids"),
                           F.unhex(F.md5(pieces.decode(F.col("ids"), vocabulary))).eqNullSafe(F.col("text_md5")).alias("round_trip"))
+
+
+@query
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    labelled = language.identify(docs.select("doc_id", "text"), language.train(docs))
+    return labelled.select("doc_id", language.is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
