@@ -59,8 +59,13 @@ def signatures(docs: DataFrame, k: int, values: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, key binary, n_shingles long, signature array<int>")
 
 
-def _screened(least: int, values: int):
-    """Spanning edges among the rows of a block pair whose signatures agree in ``least`` places."""
+def _screened(least: int, trees: int, depth: int):
+    """Spanning edges among the rows of a block pair whose signatures agree in ``least`` places.
+
+    A pair that shares prefixes in several tries counts in the first of them only.
+    """
+    values = trees * depth
+
     def work(groups: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
         left: list = []
         right: list = []
@@ -69,10 +74,17 @@ def _screened(least: int, values: int):
             if n > 1:
                 keys = group.column("key").to_pylist()
                 sign = group.column("signature").combine_chunks().flatten().to_numpy().reshape(n, values)
-                same = np.zeros((n, n), np.int16)
-                for j in range(values):
-                    same += sign[:, j, None] == sign[None, :, j]
-                label = spanning(same >= least)
+                tree = group.column("tree")[0].as_py()
+                same, earlier = np.zeros((n, n), np.int16), np.zeros((n, n), bool)
+                for t in range(trees):
+                    met = np.ones((n, n), bool)
+                    for j in range(t * depth, (t + 1) * depth):
+                        equal = sign[:, j, None] == sign[None, :, j]
+                        same += equal
+                        met &= equal
+                    if t < tree:
+                        earlier |= met
+                label = spanning((same >= least) & ~earlier)
                 for i in np.flatnonzero(label != np.arange(n)):
                     left.append(keys[i])
                     right.append(keys[label[i]])
@@ -159,11 +171,11 @@ def near_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
         F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature")))
 
     prefix = F.array(*(F.xxhash64(F.lit(t), *(F.col("signature")[t * depth + j] for j in range(depth))) for t in range(trees)))
-    nodes = classes.select("key", F.explode(prefix).alias("node"))
+    nodes = classes.select("key", F.posexplode(prefix).alias("tree", "node"))
     met = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    members = with_block_pairs(nodes.join(met, "node"), F.col("_n"), F.col("key"), block_rows).select("node", "left_block", "right_block", "key")
+    members = with_block_pairs(nodes.join(met, "node"), F.col("_n"), F.col("key"), block_rows).select("node", "tree", "left_block", "right_block", "key")
     labelled = members.join(classes.select("key", "signature"), "key")
-    candidate = arrow_groups(labelled, ["node", "left_block", "right_block"], _screened(int(values * SCREEN * similarity / SIMILARITY), values), "a binary, b binary")
+    candidate = arrow_groups(labelled, ["node", "left_block", "right_block"], _screened(int(values * SCREEN * similarity / SIMILARITY), trees, depth), "a binary, b binary")
     families = components(candidate)
 
     sized = families.join(families.groupBy("component").agg(F.count(F.lit(1)).alias("_n")), "component")

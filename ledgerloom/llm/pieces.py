@@ -18,6 +18,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from ledgerloom.llm.common import arrow_groups, binary_key
 from ledgerloom.session import cut
 
 MODEL = os.environ.get("LEDGERLOOM_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
-BATCH_BYTES = 24 << 20
-SHARD_BYTES = 12 << 20
+BATCH_BYTES = 16 << 20
+SHARD_BYTES = 16 << 20
 SPACE = "▁"
 #: Whitespace-led words; no piece goes on over the start of the next one.
 UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -172,19 +173,36 @@ def _merge_words(by: tuple[str, ...], vocabulary: Pieces):
     rank = rank[:max((r[1] for r in vocabulary.rows), default=0) + 2].tolist()
     other = vocabulary.byte_ids
 
+    def spell(words: list[str], lattices: list[list[int]]) -> pa.Array:
+        values: list[int] = []
+        ends = [0]
+        for word, edges in zip(words, lattices, strict=True):
+            ids = {e >> 20: (e & 0xFFFFF) - 1 for e in edges}
+            start = 0
+            for end in _merged(len(word), edges, rank):
+                i = ids[start << 24 | end]
+                values += [i] if i >= 0 else [other[b] for b in word[start:end].encode()] if other else [vocabulary.unknown]
+                start = end
+            ends.append(len(values))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values: list[int] = []
-            ends = [0]
-            for word, edges in zip(batch.column("word").to_pylist(), batch.column("edges").to_pylist(), strict=True):
-                ids = {e >> 20: (e & 0xFFFFF) - 1 for e in edges}
-                start = 0
-                for end in _merged(len(word), edges, rank):
-                    i = ids[start << 24 | end]
-                    values += [i] if i >= 0 else [other[b] for b in word[start:end].encode()] if other else [vocabulary.unknown]
-                    start = end
-                ends.append(len(values))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in by), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))], names=[*by, "ids"])
+        # the edges of a word arrive one after the other; the last word of a batch may go on in the next
+        held: pa.Table | None = None
+        for batch in chain(batches, [None]):
+            table = held if batch is None else pa.concat_tables([held, pa.Table.from_batches([batch])]) if held else pa.Table.from_batches([batch])
+            if table is None or not table.num_rows:
+                continue
+            number, edge = table.column("number").to_numpy(), table.column("edge").to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
+            held = None
+            if batch is not None:
+                held, table = table.slice(int(starts[-1])), table.slice(0, int(starts[-1]))
+                edge, starts = edge[:starts[-1]], starts[:-1]
+            if len(starts):
+                first = table.take(pa.array(starts)).combine_chunks()
+                lattices = [x.tolist() for x in np.split(edge, starts[1:])]
+                yield pa.RecordBatch.from_arrays([*(first.column(c).combine_chunks() for c in by), spell(first.column("word").to_pylist(), lattices)], names=[*by, "ids"])
     return run
 
 
@@ -207,18 +225,17 @@ def encode_words(words: DataFrame, vocabulary: Pieces, by: tuple[str, ...] = ("w
     broadcast.  A character without a piece takes its byte pieces, or <unk> where the vocabulary has none.
     """
     spark, longest = words.sparkSession, vocabulary.longest
-    starts = words.select(*by, F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
-    cells = (starts.select(*by, "start", F.explode(F.sequence(F.col("start") + 1, F.least(F.col("start") + longest, F.length("word")))).alias("end"))
-             .select(*by, "start", "end", F.substring(F.col("word"), F.col("start") + 1, F.col("end") - F.col("start")).alias("piece")))
+    starts = words.select(*by, F.monotonically_increasing_id().alias("number"), F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
+    cells = (starts.select(*by, "number", "start", F.explode(F.sequence(F.col("start") + 1, F.least(F.col("start") + longest, F.length("word")))).alias("end"))
+             .select(*by, "number", "start", "end", F.substring(F.col("word"), F.col("start") + 1, F.col("end") - F.col("start")).alias("piece")))
     table = F.broadcast(vocabulary.table(spark))
     # single characters stay in the lattice with or without a piece
     edges = cells.join(table, "piece", "left").filter("id is not null or end = start + 1")
     if vocabulary.kind == "bpe":
-        # one long per edge: start, end, id + 1 (0 where there is no piece)
+        # one long per edge: start, end, id + 1 (0 where there is no piece); a word's edges stay together, as nothing was shuffled
         packed = (F.shiftleft(F.col("start").cast("long"), 44) + F.shiftleft(F.col("end").cast("long"), 20) + F.coalesce(F.col("id") + 1, F.lit(0))).alias("edge")
-        lattice = edges.select(*by, packed).groupBy(*by).agg(F.collect_list("edge").alias("edges"))
         types = dict(words.dtypes)
-        return lattice.mapInArrow(_merge_words(by, vocabulary), ", ".join(f"{c} {types[c]}" for c in by) + ", ids array<int>")
+        return edges.select(*by, "number", packed).mapInArrow(_merge_words(by, vocabulary), ", ".join(f"{c} {types[c]}" for c in by) + ", ids array<int>")
     lattice = edges.groupBy(*by).agg(F.collect_list(F.struct((-F.coalesce("score", F.lit(-1e9))).alias("rank"), "start", "end", "id")).alias("edges"))
     n = F.length("word")
     bounds = _viterbi_fold(F.col("edges"), n)
@@ -288,8 +305,7 @@ def encode(docs: DataFrame, vocabulary: Pieces, id_col: str = "doc_id", text_col
     packed = cut(_batches(texts, max(1, int(held // shard_bytes)), batch_bytes))
     asked = packed.filter("shard is not null")
     words = arrow_groups(asked.select("shard", "payload"), ["shard"], _distinct, "shard int, word string")
-    # partitioned by shard, so that exploding, joining and grouping by (shard, word) need no further shuffle
-    known = cut(encode_words(words.repartition("shard"), vocabulary, ("shard", "word")))
+    known = cut(encode_words(words, vocabulary, ("shard", "word")))
     both = asked.select("shard", "batch", "payload", F.lit(None).cast("string").alias("word"), F.lit(None).cast("array<int>").alias("ids")).unionByName(
         known.select("shard", F.lit(None).cast("string").alias("batch"), F.lit(None).cast("binary").alias("payload"), "word", "ids"))
     answers = arrow_groups(both, ["shard"], _answered, _BATCHED)
