@@ -225,7 +225,8 @@ def encode_words(words: DataFrame, vocabulary: Pieces, by: tuple[str, ...] = ("w
     broadcast.  A character without a piece takes its byte pieces, or <unk> where the vocabulary has none.
     """
     spark, longest = words.sparkSession, vocabulary.longest
-    starts = words.select(*by, F.monotonically_increasing_id().alias("number"), F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
+    numbered = words.select(*by, F.monotonically_increasing_id().alias("number"))
+    starts = numbered.select(*by, "number", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
     cells = (starts.select(*by, "number", "start", F.explode(F.sequence(F.col("start") + 1, F.least(F.col("start") + longest, F.length("word")))).alias("end"))
              .select(*by, "number", "start", "end", F.substring(F.col("word"), F.col("start") + 1, F.col("end") - F.col("start")).alias("piece")))
     table = F.broadcast(vocabulary.table(spark))
