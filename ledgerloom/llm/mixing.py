@@ -144,3 +144,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
              .withColumn("_more", F.when(F.col("_limit").isNull(), (F.col("extra") >= F.col("n")) & (F.col("size") > 0)).otherwise(F.col("_limit") > 0).cast("long")))
     return (plain.unionByName(ranked).withColumn("repeats", F.when(F.col("size") > 0, F.col("rounds") + F.col("_more")).otherwise(F.lit(0)))
             .select("doc_id", "source", "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken")))
+
+
+def apply_mix(docs: DataFrame, **options: object) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them.  Rows that share doc_id and source share their repeats evenly."""
+    plan = (mix(docs, **options).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"))
+            .agg(F.sum("repeats").alias("_repeats"), F.count(F.lit(1)).alias("_rows")).filter("_repeats > 0"))
+    sized = docs.withColumn("_words", F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long"))
+    joined = sized.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size")))
+    # a row alone takes its repeats; of rows alike in identifier, source and size each takes its part, by order of text
+    alone = joined.filter("_rows = 1").withColumn("_times", F.col("_repeats"))
+    place = F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("text"))
+    shared = (joined.filter("_rows > 1").withColumn("_place", place)
+              .withColumn("_times", F.floor(F.col("_repeats") / F.col("_rows")) + (F.col("_place") <= F.col("_repeats") % F.col("_rows")).cast("long")).drop("_place"))
+    return (alone.unionByName(shared).filter("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
+            .select(*docs.columns))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import language, mixing, near_join, pieces
+from ledgerloom.llm import language, mixing, near_join, pieces, private
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +44,15 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     labelled = language.identify(docs.select("doc_id", "text"), language.train(docs))
     return labelled.select("doc_id", language.is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_private(spark: SparkSession, folder: str) -> DataFrame:
+    return private.digest(private.find_private(table(spark, folder, "documents")))
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
