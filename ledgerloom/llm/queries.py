@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import language, mixing, near_join, pieces, private
+from ledgerloom.llm import language, mixing, near_join, near_vectors, pages, pieces, private, quality, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +56,24 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, folder)
+
+
+@query
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, folder, "documents"), token_count.automaton_of(pieces.MODEL))
+
+
+@query
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.judge(docs, quality.log_ratios(docs, table(spark, folder, "labels")))
+
+
+@query
+def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op9_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, folder, "embeddings"))
