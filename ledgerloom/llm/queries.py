@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import language, mixing, near_join, near_vectors, pages, pieces, private, quality, token_count
+from ledgerloom.llm import language, mixing, near_join, near_vectors, pages, pieces, private, quality, repeats, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +77,8 @@ def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query
+def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeated_spans(table(spark, folder, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
