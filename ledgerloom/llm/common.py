@@ -186,7 +186,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternates the two star steps of distributed connected components: every node's larger neighbours, then its smaller
     ones, are tied to the smallest node around.  A step is one pre-aggregated minimum per node and one join, so a hub
-    never has to fit one task.  Each round is written to the shared folder; the loop ends when the edges stay as they are.
+    never has to fit one task.  Each round is written to the shared folder, the minima too: a join of two
+    written tables is one that adaptive execution can split at a hub.  The loop ends when the edges stay as they are.
     """
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v and u is not null and v is not null")
     state = cut(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
@@ -198,9 +199,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                 state.select(F.col("v"), F.col("v"))).distinct()
         seen = now
         both = state.union(state.select("v", "u"))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = cut(large)
+        low = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m"))))
         state = cut(small.filter("u <> v").distinct())
 

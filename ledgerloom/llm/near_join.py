@@ -172,7 +172,7 @@ def near_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
 
     prefix = F.array(*(F.xxhash64(F.lit(t), *(F.col("signature")[t * depth + j] for j in range(depth))) for t in range(trees)))
     nodes = classes.select("key", F.posexplode(prefix).alias("tree", "node"))
-    met = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    met = cut(nodes.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"))
     members = with_block_pairs(nodes.join(met, "node"), F.col("_n"), F.col("key"), block_rows).select("node", "tree", "left_block", "right_block", "key")
     labelled = members.join(classes.select("key", "signature"), "key")
     candidate = arrow_groups(labelled, ["node", "left_block", "right_block"], _screened(int(values * SCREEN * similarity / SIMILARITY), trees, depth), "a binary, b binary")
@@ -189,7 +189,7 @@ def near_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
 
     ids = joined.join(classes.select(F.col("key").alias("node"), "id"), "node")
     tied = ids.join(ids.groupBy("component").agg(F.min("id").alias("class_id")), "component").select(F.col("node").alias("key"), "class_id")
-    per_text = (classes.select("key", "id", "copies").join(tied, "key", "left").join(links, "key", "left")
+    per_text = cut(classes.select("key", "id", "copies").join(tied, "key", "left").join(links, "key", "left")
                 .select("key", F.coalesce("class_id", "id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                         (F.col("copies") - 1).alias("n_copies")))
     return (signed.select("doc_id", "key").join(per_text, "key", "left")
