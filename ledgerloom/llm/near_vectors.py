@@ -184,7 +184,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     joined = components(checked.select(F.col("key").alias("a"), F.col("tie").alias("b")))
     ids = joined.join(classes.select(F.col("key").alias("node"), "id"), "node")
     tied = ids.join(ids.groupBy("component").agg(F.min("id").alias("smallest")), "component").select(F.col("node").alias("key"), "smallest")
-    per_key = (classes.select("key", "id", "copies").join(tied, "key", "left").join(links, "key", "left")
+    per_key = cut(classes.select("key", "id", "copies").join(tied, "key", "left").join(links, "key", "left")
                .select("key", F.coalesce("smallest", "id").alias("smallest"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("found")))
     return (prepared.select("vec_id", "key").join(per_key, "key", "left")
             .select("vec_id", F.coalesce("found", F.lit(0)).alias("n_links"), F.when(F.col("key").isNull(), F.col("vec_id")).otherwise(F.col("smallest")).alias("component_id"))
