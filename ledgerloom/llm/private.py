@@ -155,7 +155,7 @@ def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     good = good_patterns(edges, **options)
     hits = (single.filter("kind < 0").select("key", "start", "end", F.explode("patterns").alias("pattern")).join(good, "pattern")
             .groupBy("key", "start", "end").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind")))
-    added = hits.groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
+    added = cut(hits.groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.struct("kind", "start", "end")).alias("added")))
     joined = read.join(added, F.col("key") == F.col("_key"), "left")
     order = lambda c: F.array_sort(F.coalesce(c, F.array().cast(f"array<{_SPAN}>")))
     return joined.select("doc_id", "key", order(F.col("base")).alias("base"),
