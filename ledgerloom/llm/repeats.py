@@ -236,7 +236,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parsed = cut(texts.select("key", "text").mapInArrow(_anchors(length, gram), "key binary, anchors array<long>")
                  .groupBy("key").agg(F.first("anchors").alias("anchors"), F.count(F.lit(1)).alias("copies")))
     stands = parsed.select("key", F.explode("anchors").alias("anchor"))
-    shared = stands.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    shared = cut(stands.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"))
     bad = stands.join(shared, "anchor").groupBy("key").agg(F.collect_set("anchor").alias("bad"))
     # a text that stands there several times is parsed as often; equal places of it count once below
     phrases = cut(texts.select("key", "text").join(bad, "key").select("key", "text", "bad")
@@ -252,6 +252,6 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     runs = arrow_groups(entries.unionByName(answers), ["shard"], _repeated(length), "phrase binary, first int, last int")
     found = (phrases.select("phrase", "key", "start").join(runs, "phrase")
              .groupBy("key").agg(F.collect_set(F.struct((F.col("start") + F.col("first")).alias("a"), (F.col("start") + F.col("last")).alias("b"))).alias("runs")))
-    marks = (parsed.select("key", (F.col("copies") > 1).alias("whole")).join(found, "key", "left").filter(F.col("whole") | F.col("runs").isNotNull()))
+    marks = cut(parsed.select("key", (F.col("copies") > 1).alias("whole")).join(found, "key", "left").filter(F.col("whole") | F.col("runs").isNotNull()))
     return (texts.join(marks, "key", "left").select("doc_id", "text", F.coalesce("whole", F.lit(False)).alias("whole"), "runs")
             .mapInArrow(_removed(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,end:long>>"))
