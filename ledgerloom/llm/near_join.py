@@ -23,7 +23,7 @@ SIMILARITY = 0.8
 TREES = 16
 MAX_DEPTH = 8
 RECALL = 0.9999
-BLOCK_ROWS = 128
+BLOCK_ROWS = 256
 SCREEN = 0.5
 
 
