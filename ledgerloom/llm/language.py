@@ -21,7 +21,7 @@ SMOOTHING = 0.5
 SWITCH = 12.0
 #: A script counts for a language if it holds this share of the language's letters.
 SCRIPT_SHARE = 0.01
-SLICE_CHARS = 6 << 20
+SLICE_CHARS = 2 << 20
 UNKNOWN = "und"
 
 #: First code point of ranges of scripts; letters outside belong to script 1 (Latin and others).
