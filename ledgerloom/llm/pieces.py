@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding by a relational lattice over distinct words.
 
-Documents are packed in batches.  A batch keeps, per document, the numbers of its words, and its distinct words once.  The
+Documents are packed in batches.  A batch keeps, per document, the numbers of its words, and its distinct words once.  A word
+is a stretch without a place that no piece of the vocabulary crosses, so its pieces do not depend on what stands around it.  The
 distinct words of all batches are exploded into their substrings, these are equi-joined to the piece table, the matching
 edges are grouped by word again, and a Spark higher-order ``aggregate`` (or, for merges, an Arrow function) folds them into the word's pieces.  The pieces go
 back to the batches, where the documents are put together.
@@ -12,9 +13,7 @@ vocabulary defines, so Viterbi alone would give other results than the published
 
 from __future__ import annotations
 
-import hashlib
 import os
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
@@ -23,6 +22,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -33,8 +33,7 @@ MODEL = os.environ.get("LEDGERLOOM_PIECES", "/opt/tokenizers/piece_bpe_32k.model
 BATCH_BYTES = 16 << 20
 SHARD_BYTES = 16 << 20
 SPACE = "▁"
-#: Whitespace-led words; no piece goes on over the start of the next one.
-UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+SLICE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -62,6 +61,19 @@ class Pieces:
         return spark.createDataFrame(pa.table({"piece": pa.array([r[0] for r in self.rows]), "id": pa.array([r[1] for r in self.rows], pa.int32()),
                                                "score": pa.array([r[2] for r in self.rows], pa.float64())}))
 
+    @property
+    def joints(self) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each code point among those of longer pieces (the last place: all others), and which pairs of them
+        stand side by side in a piece: a table of the square of the vocabulary's alphabet."""
+        pairs = {r[0][i:i + 2] for r in self.rows for i in range(len(r[0]) - 1)}
+        alphabet = sorted({ord(c) for pair in pairs for c in pair})
+        lookup = np.full(0x110000, len(alphabet), np.int32)
+        lookup[alphabet] = np.arange(len(alphabet))
+        joined = np.zeros((len(alphabet) + 1, len(alphabet) + 1), bool)
+        for a, b in pairs:
+            joined[lookup[ord(a)], lookup[ord(b)]] = True
+        return lookup, joined
+
     @property
     def longest(self) -> int:
         return max((len(r[0]) for r in self.rows), default=1)
@@ -79,39 +91,69 @@ def _unpacked(data: bytes) -> pa.Array:
     return pa.ipc.open_stream(data).read_next_batch().column(0)
 
 
-def _shard(word: str, shards: int) -> int:
-    return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little") % shards
+def _units(text: str, joints: tuple[np.ndarray, np.ndarray]) -> pa.StringArray:
+    """The text cut between characters that no piece holds side by side: no path of the lattice crosses such a place."""
+    lookup, joined = joints
+    starts, at, before = [], 0, len(joined) - 1
+    for low in range(0, len(text), SLICE):
+        code = np.frombuffer(text[low:low + SLICE].encode("utf-32-le"), np.uint32)
+        index = lookup[code]
+        opens = ~joined[np.concatenate([[before], index[:-1]]), index]
+        width = 1 + (code > 0x7F) + (code > 0x7FF).astype(np.int64) + (code > 0xFFFF)
+        place = at + np.cumsum(width) - width
+        starts.append(place[opens])
+        at, before = at + int(width.sum()), index[-1]
+    offsets = np.concatenate([*starts, [at]]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(text.encode()))
+
+
+def _pressed(numbers: np.ndarray) -> bytes:
+    """Count and numbers, byte by byte in planes, as the high bytes of frequent words are zero."""
+    return len(numbers).to_bytes(4, "little") + bytes(pa.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True))
+
+
+def _unpressed(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:4], "little")
+    planes = np.frombuffer(pa.decompress(data[4:], n * 4, "zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
 _BATCHED = "batch string, shard int, doc_id long, text_md5 binary, payload binary"
 
 
-def _batches(docs: DataFrame, shards: int, batch_bytes: int) -> DataFrame:
-    """Rows of two kinds: a document with its word numbers (shard null), and the words of a batch that fall into a shard."""
+#: In place of a shard: the row of a batch that tells the shard of each of its words.
+DEALT = -1
+
+
+def _batches(docs: DataFrame, shards: int, batch_bytes: int, joints: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Rows of three kinds: a document with its word numbers (shard null), the words of a batch that fall into a shard, and
+    the shard of each word of a batch (shard ``DEALT``).  The words of a batch are numbered from the most frequent down."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count = TaskContext.get().partitionId(), 0
         ids: list = []
         marks: list = []
-        numbers: list[np.ndarray] = []
-        seen: dict[str, int] = {}
+        units: list = []
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             name = f"{part}-{count}"
-            words = list(seen)
-            shard = np.array([_shard(w, shards) for w in words], np.int64)
-            order = np.lexsort((np.array(words, dtype=object), shard)) if words else np.zeros(0, np.int64)
+            told = pa.chunked_array([u for u in units if u is not None], pa.string()).combine_chunks().dictionary_encode()
+            told = told.combine_chunks() if isinstance(told, pa.ChunkedArray) else told
+            found, words = told.indices.to_numpy(), told.dictionary
+            order = np.argsort(-np.bincount(found, minlength=len(words)), kind="stable")
             place = np.empty(len(words), np.uint32)
             place[order] = np.arange(len(words), dtype=np.uint32)
-            payload = [None if n is None else bytes(pa.compress(place[n].tobytes(), "zstd", asbytes=True)) for n in numbers]
+            words, numbers = words.take(pa.array(order)), place[found]
+            payload, at = [], 0
+            for u in units:
+                payload.append(None if u is None else _pressed(numbers[at:at + len(u)]))
+                at += 0 if u is None else len(u)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(ids)), pa.nulls(len(ids), pa.int32()), pa.array(ids, pa.int64()), pa.array(marks, pa.binary()),
-                                              pa.array([None if p is None else len(n).to_bytes(4, "little") + p for n, p in zip(numbers, payload, strict=True)], pa.binary())],
-                                             names=["batch", "shard", "doc_id", "text_md5", "payload"])
-            in_order = pa.array(words, pa.string()).take(pa.array(order)) if words else pa.array([], pa.string())
-            found, at = np.unique(shard[order], return_index=True)
-            for s, a, b in zip(found, at, [*at[1:], len(words)], strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([s], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
-                                                  pa.array([_packed(in_order[int(a):int(b)])], pa.binary())], names=["batch", "shard", "doc_id", "text_md5", "payload"])
+                                              pa.array(payload, pa.binary())], names=["batch", "shard", "doc_id", "text_md5", "payload"])
+            shard = (hash_array(words.to_numpy(zero_copy_only=False), categorize=False) % np.uint64(shards)).astype(np.int32)
+            rows = [(DEALT, _pressed(shard))] + [(int(s), _packed(words.filter(pa.array(shard == s)))) for s in np.unique(shard)]
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array([r[0] for r in rows], pa.int32()), pa.nulls(len(rows), pa.int64()),
+                                              pa.nulls(len(rows), pa.binary()), pa.array([r[1] for r in rows], pa.binary())], names=["batch", "shard", "doc_id", "text_md5", "payload"])
 
         for batch in batches:
             for doc, mark, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_md5").to_pylist(), batch.column("text"), strict=True):
@@ -119,14 +161,13 @@ def _batches(docs: DataFrame, shards: int, batch_bytes: int) -> DataFrame:
                 ids.append(doc)
                 marks.append(mark)
                 if text is None:
-                    numbers.append(None)
+                    units.append(None)
                 else:
-                    units = UNITS.findall(SPACE + text.replace(" ", SPACE)) if text else []
-                    numbers.append(np.fromiter((seen.setdefault(u, len(seen)) for u in units), np.uint32, len(units)))
+                    units.append(_units(SPACE + text.replace(" ", SPACE), joints) if text else pa.array([], pa.string()))
                     held += len(text)
                 if held >= batch_bytes:
                     yield from flush()
-                    ids, marks, numbers, seen, held, count = [], [], [], {}, 0, count + 1
+                    ids, marks, units, held, count = [], [], [], 0, count + 1
         if ids:
             yield from flush()
 
@@ -135,10 +176,10 @@ def _batches(docs: DataFrame, shards: int, batch_bytes: int) -> DataFrame:
 
 def _distinct(groups: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
     for group in groups:
-        words: set[str] = set()
-        for payload in group.column("payload"):
-            words.update(_unpacked(payload.as_buffer()).to_pylist())
-        yield pa.RecordBatch.from_arrays([pa.array([group.column("shard")[0].as_py()] * len(words), pa.int32()), pa.array(sorted(words), pa.string())], names=["shard", "word"])
+        words = pc.unique(pa.chunked_array([_unpacked(payload.as_buffer()) for payload in group.column("payload")], pa.string()))
+        for low in range(0, len(words), 10_000):
+            piece = words.slice(low, 10_000)
+            yield pa.RecordBatch.from_arrays([pa.array([group.column("shard")[0].as_py()] * len(piece), pa.int32()), piece], names=["shard", "word"])
 
 
 def _merged(n: int, edges: list[int], rank: list[float]) -> list[int]:
@@ -236,7 +277,9 @@ def encode_words(words: DataFrame, vocabulary: Pieces, by: tuple[str, ...] = ("w
         # one long per edge: start, end, id + 1 (0 where there is no piece); a word's edges stay together, as nothing was shuffled
         packed = (F.shiftleft(F.col("start").cast("long"), 44) + F.shiftleft(F.col("end").cast("long"), 20) + F.coalesce(F.col("id") + 1, F.lit(0))).alias("edge")
         types = dict(words.dtypes)
-        return edges.select(*by, "number", packed).mapInArrow(_merge_words(by, vocabulary), ", ".join(f"{c} {types[c]}" for c in by) + ", ids array<int>")
+        # the first edge of a word carries it, the others need not
+        led = [F.when((F.col("start") == 0) & (F.col("end") == 1), F.col(c)).alias(c) for c in by]
+        return edges.select(*led, "number", packed).mapInArrow(_merge_words(by, vocabulary), ", ".join(f"{c} {types[c]}" for c in by) + ", ids array<int>")
     lattice = edges.groupBy(*by).agg(F.collect_list(F.struct((-F.coalesce("score", F.lit(-1e9))).alias("rank"), "start", "end", "id")).alias("edges"))
     n = F.length("word")
     bounds = _viterbi_fold(F.col("edges"), n)
@@ -259,13 +302,11 @@ def encode_words(words: DataFrame, vocabulary: Pieces, by: tuple[str, ...] = ("w
 def _answered(groups: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
     """For each batch of a shard the pieces of its words, in its own order."""
     for group in groups:
-        words = group.column("word").combine_chunks()
-        known = pc.is_valid(words)
-        spelled = dict(zip(words.filter(known).to_pylist(), range(len(words)), strict=False))
-        ids = group.column("ids").combine_chunks().filter(known)
-        asked = group.filter(pc.invert(known))
+        known = group.filter(pc.is_valid(group.column("word")))
+        words, ids = known.column("word").combine_chunks(), known.column("ids").combine_chunks()
+        asked = group.filter(pc.is_null(group.column("word")))
         for batch, payload in zip(asked.column("batch").to_pylist(), asked.column("payload"), strict=True):
-            at = pa.array([spelled[w] for w in _unpacked(payload.as_buffer()).to_pylist()], pa.int32())
+            at = pc.index_in(_unpacked(payload.as_buffer()), value_set=words)
             yield pa.RecordBatch.from_arrays([pa.array([batch]), group.column("shard")[:1].combine_chunks(), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
                                               pa.array([_packed(ids.take(at))], pa.binary())], names=["batch", "shard", "doc_id", "text_md5", "payload"])
 
@@ -273,26 +314,31 @@ def _answered(groups: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
 def _assembled(groups: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
     for group in groups:
         is_doc = pc.is_null(group.column("shard"))
-        answers = group.filter(pc.invert(is_doc)).sort_by("shard")
+        dealt = group.filter(pc.equal(group.column("shard"), DEALT)).column("payload")
+        answers = group.filter(pc.greater(group.column("shard"), DEALT)).sort_by("shard")
         spelled = [_unpacked(p.as_buffer()) for p in answers.column("payload")]
         values = np.concatenate([np.zeros(0, np.int32), *(s.flatten().to_numpy() for s in spelled)])
-        length = np.concatenate([np.zeros(0, np.int64), *(np.diff(s.offsets.to_numpy()) for s in spelled)]).astype(np.int64)
-        begin = np.concatenate([[0], np.cumsum(length)])[:-1]
+        # answers lie by shard and, within it, by number
+        order = np.argsort(_unpressed(dealt[0].as_py()), kind="stable") if len(dealt) else np.zeros(0, np.int64)
+        dealt_length = np.concatenate([np.zeros(0, np.int64), *(np.diff(s.offsets.to_numpy()) for s in spelled)]).astype(np.int64)
+        length, begin = np.empty_like(dealt_length), np.empty_like(dealt_length)
+        length[order], begin[order] = dealt_length, np.cumsum(dealt_length) - dealt_length
         docs = group.filter(is_doc)
-        out: list = []
-        for payload in docs.column("payload").to_pylist():
+        rows, held, out = 0, 0, []
+        for payload in chain(docs.column("payload").to_pylist(), [()]):
+            if payload == () or held > 1 << 20:
+                piece = docs.slice(rows, len(out))
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id").combine_chunks(), piece.column("text_md5").combine_chunks(),
+                                                  pa.array(out, pa.list_(pa.int32()))], names=["doc_id", "text_md5", "ids"])
+                rows, held, out = rows + len(out), 0, []
             if payload is None:
                 out.append(None)
-                continue
-            n = int.from_bytes(payload[:4], "little")
-            at = np.frombuffer(pa.decompress(payload[4:], n * 4, "zstd", asbytes=True), np.uint32) if n else np.zeros(0, np.uint32)
-            size = length[at]
-            ends = np.cumsum(size)
-            out.append(values[np.repeat(begin[at] - (ends - size), size) + np.arange(int(size.sum()))])
-        for low in range(0, len(out), 1000):
-            piece = docs.slice(low, 1000)
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id").combine_chunks(), piece.column("text_md5").combine_chunks(),
-                                              pa.array(out[low:low + 1000], pa.list_(pa.int32()))], names=["doc_id", "text_md5", "ids"])
+            elif payload != ():
+                at = _unpressed(payload)
+                size = length[at]
+                ends = np.cumsum(size)
+                held += int(size.sum())
+                out.append(values[np.repeat(begin[at] - (ends - size), size) + np.arange(int(size.sum()))])
 
 
 def encode(docs: DataFrame, vocabulary: Pieces, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -303,14 +349,14 @@ def encode(docs: DataFrame, vocabulary: Pieces, id_col: str = "doc_id", text_col
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), binary_key(F.col(text_col)).alias("text_md5"))
     held = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    packed = cut(_batches(texts, max(1, int(held // shard_bytes)), batch_bytes))
-    asked = packed.filter("shard is not null")
+    packed = cut(_batches(texts, max(1, int(held // shard_bytes)), batch_bytes, vocabulary.joints))
+    asked = packed.filter(F.col("shard") > DEALT)
     words = arrow_groups(asked.select("shard", "payload"), ["shard"], _distinct, "shard int, word string")
     known = cut(encode_words(words, vocabulary, ("shard", "word")))
     both = asked.select("shard", "batch", "payload", F.lit(None).cast("string").alias("word"), F.lit(None).cast("array<int>").alias("ids")).unionByName(
         known.select("shard", F.lit(None).cast("string").alias("batch"), F.lit(None).cast("binary").alias("payload"), "word", "ids"))
     answers = arrow_groups(both, ["shard"], _answered, _BATCHED)
-    return arrow_groups(packed.filter("shard is null").unionByName(answers), ["batch"], _assembled, "doc_id long, text_md5 binary, ids array<int>")
+    return arrow_groups(packed.filter(F.col("shard").isNull() | (F.col("shard") == DEALT)).unionByName(answers), ["batch"], _assembled, "doc_id long, text_md5 binary, ids array<int>")
 
 
 def decode(ids: Column, vocabulary: Pieces) -> Column:
