@@ -18,11 +18,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pandas.util import hash_array
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -31,9 +31,9 @@ from ledgerloom.session import cut
 
 MODEL = os.environ.get("LEDGERLOOM_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 BATCH_BYTES = 16 << 20
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 32 << 20
 SPACE = "▁"
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -138,7 +138,6 @@ def _batches(docs: DataFrame, shards: int, batch_bytes: int, joints: tuple[np.nd
         def flush() -> Iterator[pa.RecordBatch]:
             name = f"{part}-{count}"
             told = pa.chunked_array([u for u in units if u is not None], pa.string()).combine_chunks().dictionary_encode()
-            told = told.combine_chunks() if isinstance(told, pa.ChunkedArray) else told
             found, words = told.indices.to_numpy(), told.dictionary
             order = np.argsort(-np.bincount(found, minlength=len(words)), kind="stable")
             place = np.empty(len(words), np.uint32)
@@ -150,10 +149,13 @@ def _batches(docs: DataFrame, shards: int, batch_bytes: int, joints: tuple[np.nd
                 at += 0 if u is None else len(u)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(ids)), pa.nulls(len(ids), pa.int32()), pa.array(ids, pa.int64()), pa.array(marks, pa.binary()),
                                               pa.array(payload, pa.binary())], names=["batch", "shard", "doc_id", "text_md5", "payload"])
-            shard = (hash_array(words.to_numpy(zero_copy_only=False), categorize=False) % np.uint64(shards)).astype(np.int32)
-            rows = [(DEALT, _pressed(shard))] + [(int(s), _packed(words.filter(pa.array(shard == s)))) for s in np.unique(shard)]
+            shard = np.fromiter(map(crc32, words.cast(pa.binary()).to_pylist()), np.int64, len(words)) % shards
+            order = np.argsort(shard, kind="stable")
+            cuts, words = np.flatnonzero(np.diff(shard[order], prepend=-1)), words.take(pa.array(order))
+            rows = [(DEALT, _pressed(shard))] + [(int(shard[order[a]]), _packed(words.slice(a, b - a))) for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(words)], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array([r[0] for r in rows], pa.int32()), pa.nulls(len(rows), pa.int64()),
                                               pa.nulls(len(rows), pa.binary()), pa.array([r[1] for r in rows], pa.binary())], names=["batch", "shard", "doc_id", "text_md5", "payload"])
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             for doc, mark, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_md5").to_pylist(), batch.column("text"), strict=True):
