@@ -6,6 +6,8 @@ shingles are a few numpy passes over slices of some MB.  Null text counts as emp
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.session import cut
+from ledgerloom.session import cut, ensure_checkpoint_dir
 
 #: Words are runs of other characters than space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -156,6 +158,13 @@ def arrow_groups(df: DataFrame, keys: list[str], work: Callable[[Iterator[pa.Tab
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
+def cut_by(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``cut`` into buckets of ``key``: a later grouping by it, or a join on it, reads the files without a shuffle."""
+    spark, name = df.sparkSession, f"cut_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).option("path", os.path.join(ensure_checkpoint_dir(spark), name)).saveAsTable(name, format="parquet")
+    return spark.table(name)
+
+
 def with_block_pairs(df: DataFrame, size: Column, member: Column, block_rows: int) -> DataFrame:
     """Copy each row of a group to the block pairs that it takes part in: columns ``block``, ``left_block``, ``right_block``.
 

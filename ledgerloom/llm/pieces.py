@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm.common import arrow_groups, binary_key
+from ledgerloom.llm.common import arrow_groups, binary_key, cut_by
 from ledgerloom.session import cut
 
 MODEL = os.environ.get("LEDGERLOOM_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
@@ -112,9 +112,12 @@ def _pressed(numbers: np.ndarray) -> bytes:
     return len(numbers).to_bytes(4, "little") + bytes(pa.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True))
 
 
-def _unpressed(data: bytes) -> np.ndarray:
+def _unpressed(data: bytes | pa.Buffer) -> np.ndarray:
+    data = memoryview(data)
     n = int.from_bytes(data[:4], "little")
-    planes = np.frombuffer(pa.decompress(data[4:], n * 4, "zstd", asbytes=True), np.uint8).reshape(4, n)
+    if not n:
+        return np.zeros(0, np.uint32)
+    planes = np.frombuffer(pa.decompress(pa.py_buffer(data[4:]), n * 4, "zstd", asbytes=True), np.uint8).reshape(4, n)
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
@@ -313,34 +316,28 @@ def _answered(groups: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
                                               pa.array([_packed(ids.take(at))], pa.binary())], names=["batch", "shard", "doc_id", "text_md5", "payload"])
 
 
-def _assembled(groups: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
-    for group in groups:
-        is_doc = pc.is_null(group.column("shard"))
-        dealt = group.filter(pc.equal(group.column("shard"), DEALT)).column("payload")
-        answers = group.filter(pc.greater(group.column("shard"), DEALT)).sort_by("shard")
-        spelled = [_unpacked(p.as_buffer()) for p in answers.column("payload")]
-        values = np.concatenate([np.zeros(0, np.int32), *(s.flatten().to_numpy() for s in spelled)])
-        # answers lie by shard and, within it, by number
-        order = np.argsort(_unpressed(dealt[0].as_py()), kind="stable") if len(dealt) else np.zeros(0, np.int64)
-        dealt_length = np.concatenate([np.zeros(0, np.int64), *(np.diff(s.offsets.to_numpy()) for s in spelled)]).astype(np.int64)
-        length, begin = np.empty_like(dealt_length), np.empty_like(dealt_length)
-        length[order], begin[order] = dealt_length, np.cumsum(dealt_length) - dealt_length
-        docs = group.filter(is_doc)
-        rows, held, out = 0, 0, []
-        for payload in chain(docs.column("payload").to_pylist(), [()]):
-            if payload == () or held > 1 << 20:
-                piece = docs.slice(rows, len(out))
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id").combine_chunks(), piece.column("text_md5").combine_chunks(),
-                                                  pa.array(out, pa.list_(pa.int32()))], names=["doc_id", "text_md5", "ids"])
-                rows, held, out = rows + len(out), 0, []
-            if payload is None:
-                out.append(None)
-            elif payload != ():
-                at = _unpressed(payload)
-                size = length[at]
-                ends = np.cumsum(size)
-                held += int(size.sum())
-                out.append(values[np.repeat(begin[at] - (ends - size), size) + np.arange(int(size.sum()))])
+def _assembled(packed: pa.Table, answers: pa.Table) -> pa.Table:
+    """The documents of a batch from their word numbers and the pieces of its words."""
+    is_doc = pc.is_null(packed.column("shard"))
+    docs, dealt = packed.filter(is_doc), packed.filter(pc.invert(is_doc)).column("payload")
+    spelled = [_unpacked(p.as_buffer()) for p in answers.sort_by("shard").column("payload")]
+    values = np.concatenate([np.zeros(0, np.int32), *(s.flatten().to_numpy() for s in spelled)])
+    lengths = np.concatenate([np.zeros(0, np.int64), *(np.diff(s.offsets.to_numpy()) for s in spelled)]).astype(np.int64)
+    # answers lie by shard and, within it, by number
+    order = np.argsort(_unpressed(dealt[0].as_py()), kind="stable")
+    length, begin = np.empty_like(lengths), np.empty_like(lengths)
+    length[order], begin[order] = lengths, np.cumsum(lengths) - lengths
+    out = []
+    for payload in docs.column("payload"):
+        if not payload.is_valid:
+            out.append(pa.nulls(1, pa.list_(pa.int32())))
+            continue
+        at = _unpressed(payload.as_buffer())
+        size = length[at]
+        ends = np.cumsum(size)
+        ids = values[np.repeat(begin[at] - (ends - size), size) + np.arange(int(size.sum()))]
+        out.append(pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids)))
+    return pa.table({"doc_id": docs.column("doc_id"), "text_md5": docs.column("text_md5"), "ids": pa.chunked_array(out, pa.list_(pa.int32()))})
 
 
 def encode(docs: DataFrame, vocabulary: Pieces, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -351,14 +348,15 @@ def encode(docs: DataFrame, vocabulary: Pieces, id_col: str = "doc_id", text_col
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), binary_key(F.col(text_col)).alias("text_md5"))
     held = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    packed = cut(_batches(texts, max(1, int(held // shard_bytes)), batch_bytes, vocabulary.joints))
+    packed = cut_by(_batches(texts, max(1, int(held // shard_bytes)), batch_bytes, vocabulary.joints), "batch", max(1, int(held // (4 * batch_bytes))))
     asked = packed.filter(F.col("shard") > DEALT)
     words = arrow_groups(asked.select("shard", "payload"), ["shard"], _distinct, "shard int, word string")
     known = cut(encode_words(words, vocabulary, ("shard", "word")))
     both = asked.select("shard", "batch", "payload", F.lit(None).cast("string").alias("word"), F.lit(None).cast("array<int>").alias("ids")).unionByName(
         known.select("shard", F.lit(None).cast("string").alias("batch"), F.lit(None).cast("binary").alias("payload"), "word", "ids"))
     answers = arrow_groups(both, ["shard"], _answered, _BATCHED)
-    return arrow_groups(packed.filter(F.col("shard").isNull() | (F.col("shard") == DEALT)).unionByName(answers), ["batch"], _assembled, "doc_id long, text_md5 binary, ids array<int>")
+    mine = packed.filter(F.col("shard").isNull() | (F.col("shard") == DEALT))
+    return mine.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_assembled, "doc_id long, text_md5 binary, ids array<int>")
 
 
 def decode(ids: Column, vocabulary: Pieces) -> Column:
