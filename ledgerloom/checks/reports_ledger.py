@@ -184,9 +184,9 @@ register("report_r08", lambda s: V.order_changes(s, PLAIN), f"""
 
 # ---- alert ----
 
-NOW = Params(as_at=dt.date(2024, 1, 30))
+NOW = Params(as_at=dt.datetime(2024, 1, 30, 17))
 _REQ = """FROM {por_requisition_lines_all} l JOIN {por_requisition_headers_all} h USING (requisition_header_id)
-          WHERE l.new_supplier_flag = 'Y' AND h.submission_date > timestamp '2024-01-29 00:00:00'"""
+          WHERE l.new_supplier_flag = 'Y' AND h.submission_date > timestamp '2024-01-29 17:00:00' AND h.submission_date <= timestamp '2024-01-30 17:00:00'"""
 _ALERT = f"""SELECT DISTINCT h.requisition_number, h.description, {sentence('h.document_status')} AS status, l.line_number, l.unit_price, l.quantity,
         l.uom_code AS uom, l.suggested_vendor_name, l.suggested_vendor_site AS site, l.suggested_vendor_contact_phone AS phone,
         l.suggested_vendor_contact_email AS email, l.suggested_supplier_item_number AS item_number {_REQ}"""

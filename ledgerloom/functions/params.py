@@ -33,15 +33,20 @@ def optional_between(c: Column, low: dt.date | None, high: dt.date | None) -> Co
 
 @dataclass(frozen=True)
 class Params:
-    """``as_at`` is the run date; the rest are the report's own parameters by name."""
+    """``as_at`` is the run date or time; the rest are the report's own parameters by name."""
 
-    as_at: dt.date | None = None
+    as_at: dt.date | dt.datetime | None = None
     date_from: dt.date | None = None
     date_to: dt.date | None = None
     chosen: Mapping[str, Any] = field(default_factory=dict)
 
     def today(self) -> Column:
-        return F.lit(self.as_at) if self.as_at else F.current_date()
+        day = self.as_at.date() if isinstance(self.as_at, dt.datetime) else self.as_at
+        return F.lit(day) if day else F.current_date()
+
+    def now(self) -> Column:
+        """The run time; a run date alone is its midnight."""
+        return F.lit(str(self.as_at)).cast("timestamp") if self.as_at else F.current_timestamp()
 
     def get(self, name: str) -> Any:
         return self.chosen.get(name)

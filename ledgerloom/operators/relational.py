@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -36,14 +37,21 @@ def or_equi_join(left: DataFrame, right: DataFrame, alternatives: Sequence[Seque
     asked = left.select(*compared).distinct() if probes is None else probes.select(*compared)
     target = right.select(*dict.fromkeys(b for pairs in alternatives for _, b in pairs)).distinct() if semi else right
 
-    def as_key(pair: Pair, side: int) -> Column:
-        """Text that is equal where the two columns are equal, also if their number types differ."""
+    def typed(pair: Pair, side: int) -> Column:
+        """The column in a type that both sides of the pair can be compared in; text that is no number meets no number."""
         a, b = asked.schema[pair[0]].dataType, target.schema[pair[1]].dataType
         c = F.col(pair[side])
-        if a != b and isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
-            whole = isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType)
-            c = c.cast("bigint" if whole else "decimal(38,10)")
-        return c.cast("string")
+        numbers = isinstance(a, T.NumericType) + isinstance(b, T.NumericType)
+        texts = isinstance(a, T.StringType) + isinstance(b, T.StringType)
+        if a != b and numbers == 2:
+            return c.cast("bigint" if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType) else "decimal(38,10)")
+        return c.try_cast("decimal(38,10)") if numbers == texts == 1 else c
+
+    def as_key(pair: Pair, side: int) -> Column:
+        return typed(pair, side).cast("string")
+
+    def matches(pairs: Sequence[Pair]) -> Column:
+        return reduce(Column.__and__, (typed(pair, 0) == typed(pair, 1) for pair in pairs))
 
     def searches(df: DataFrame, side: int, tag: str) -> DataFrame:
         keys = [F.struct(F.lit(i).alias("alt"), F.concat(*(
@@ -56,7 +64,7 @@ def or_equi_join(left: DataFrame, right: DataFrame, alternatives: Sequence[Seque
         searches(target, 1, "r"), (F.col("_l_alt") == F.col("_r_alt")) & (F.col("_l_key") == F.col("_r_key")))
     first = None
     for i, pairs in enumerate(alternatives):
-        first = F.when(_matches(pairs), i) if first is None else first.when(_matches(pairs), i)
+        first = F.when(matches(pairs), i) if first is None else first.when(matches(pairs), i)
     found = hit.filter(first == F.col("_l_alt")).select(
         *(F.col(k).alias(f"_k_{k}") for k in left_key), *([] if semi else right.columns))
     on = None

@@ -54,7 +54,6 @@ def header_versions(src: Source, p: Params) -> DataFrame:
     archive = p.narrow(src.table("po_headers_archive_all"), po_num="segment1")
     df = (version_as_of(archive, versions, ["po_header_id"]).join(first, "po_header_id")
           .join(units, "prc_bu_id").join(suppliers, "vendor_id"))
-    df = p.narrow(df, business_unit="businessunit", suppliernum="supplier_num")
     return df.select(
         "po_header_id", "version_id", F.col("segment1").alias("po_number"), "type_lookup_code",
         F.col("co_sequence").alias("header_co_sequence"), F.trim("comments").alias("po_description"),
@@ -136,7 +135,8 @@ def order_changes(src: Source, p: Params, lines_per_chunk: int = 10_000) -> Data
           .withColumns({c: F.coalesce(f"_cc_{c}", f"_c_{c}") for c in FILLED})
           .withColumn("initiator_name", F.when(F.col("originator_role") == "SYSTEM", F.lit("System")).otherwise(F.col("_name")))
           .withColumn("status", amendment(F.col("headerstatus"), F.col("line_status"))))
-    df = p.narrow(df, costcentre="cost_centre", costcentregroup="cost_centre_group", category_code="category_id",
+    # unit and supplier may differ between the versions of an order, so they narrow only what is shown, not what is carried
+    df = p.narrow(df, business_unit="businessunit", suppliernum="supplier_num", costcentre="cost_centre", costcentregroup="cost_centre_group", category_code="category_id",
                   originatorrole="initiator_name")
     return df.select(
         "po_header_id", "version_id", "po_number", "type_lookup_code", "header_co_sequence", "po_description", "co_num", "change_order_desc",

@@ -28,17 +28,18 @@ def requisition_lines(src: Source) -> DataFrame:
 
 
 def recent(submitted: Column, now: Column) -> Column:
-    return submitted > now - F.expr("INTERVAL 1 DAY")
+    """The 24 hours up to ``now``: a row is in the window of one daily run only."""
+    return (submitted > now - F.expr("INTERVAL 1 DAY")) & (submitted <= now)
 
 
 def new_supplier_alerts(src: Source, p: Params) -> DataFrame:
-    rows = alert_rows(requisition_lines(src)).filter(recent(F.col("submission_date"), F.to_timestamp(p.today())))
+    rows = alert_rows(requisition_lines(src)).filter(recent(F.col("submission_date"), p.now()))
     return rows.select(*ALERT_COLUMNS).distinct().orderBy(F.desc_nulls_first("requisition_number"))
 
 
 def alert_trigger(src: Source, p: Params) -> DataFrame:
     """One row 'true' per alert line, none if nothing is to be reported."""
-    rows = alert_rows(requisition_lines(src)).filter(recent(F.col("submission_date"), F.to_timestamp(p.today())))
+    rows = alert_rows(requisition_lines(src)).filter(recent(F.col("submission_date"), p.now()))
     return rows.select(F.lit("true").alias("fired"))
 
 

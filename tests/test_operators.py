@@ -97,6 +97,12 @@ def test_or_join_across_number_types(spark):
     right = spark.createDataFrame([(5.0,), (7.0,)], "b double").select(F.col("b").cast("decimal(18,2)").alias("b"))
     assert rows(R.or_equi_join(left, right, [[("a", "b")]], ["k"], "left_semi"), "k") == [(1,)]
     assert rows(R.or_equi_join(left, right.select(F.col("b").cast("bigint").alias("b")), [[("a", "b")]], ["k"], "left_semi"), "k") == [(1,)]
+    # numbers held as text: leading zeros are equal, other text meets nothing and ends nothing
+    texts = spark.createDataFrame([("005", "q"), ("x7", "q"), (None, "q")], "b string, d string")
+    two = [[("c", "d")], [("a", "b")]]
+    asked = spark.createDataFrame([(1, 5, "-"), (2, 7, "q"), (3, 8, "-")], "k int, a bigint, c string")
+    assert rows(R.or_equi_join(asked, texts, [[("a", "b")]], ["k"], "left_semi"), "k") == [(1,)]
+    assert rows(R.or_equi_join(asked, texts, two, ["k"], "inner"), "k") == [(1,), (2,), (2,), (2,)]
 
 
 def plan_of(df):

@@ -37,6 +37,7 @@ def test_batch_alert(spark):
     assert S.alert_trigger(src, p).count() == 2
     assert S.has_alerts(S.alert_trigger(src, p))
     assert not S.has_alerts(S.alert_trigger(src, Params(as_at=dt.date(2024, 6, 1))))
+    assert not S.has_alerts(S.alert_trigger(src, Params(as_at=dt.date(1999, 1, 1))))  # not yet submitted
 
 
 def test_stream_drops_repeats_and_late_rows(spark, tmp_path):
