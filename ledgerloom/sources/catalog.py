@@ -12,13 +12,12 @@ from ledgerloom.sources.standins import RAW_TABLES, STANDINS, references
 
 
 def exact_numbers(df: DataFrame) -> DataFrame:
-    """Money and quantities never stay floating point; amounts before rounding keep ten places."""
+    """Money, rates and quantities never stay floating point; all keep ten places."""
     loose = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     if not loose:
         return df
     return df.select(*(
-        F.col(c).cast("decimal(28,10)" if c.startswith("unrounded_") else "decimal(18,2)").alias(c) if c in loose else F.col(c)
-        for c in df.columns))
+        F.col(c).cast("decimal(28,10)").alias(c) if c in loose else F.col(c) for c in df.columns))
 
 
 class Source:
