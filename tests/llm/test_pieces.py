@@ -1,7 +1,7 @@
 import sentencepiece
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.pieces import MODEL, Pieces, decode, encode, encode_words
+from ledgerloom.llm.pieces import MODEL, SPACE, Pieces, _units, decode, encode, encode_words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -42,3 +42,22 @@ def test_viterbi(spark):
         return table[-1][1]
     got = {r.word: r.ids for r in encode_words(spark.createDataFrame([(w,) for w in words], "word string"), vocabulary).collect()}
     assert got == {w: best(w) for w in words}
+
+
+def test_units_are_independent_of_their_neighbours():
+    import sentencepiece
+
+    model, joints = sentencepiece.SentencePieceProcessor(model_file=MODEL), Pieces.load(MODEL).joints
+    for text in ("a", "two words,\n\nnew.Line  $$$ x", "naïve 漢字かな 😀😀 \t end ", "abc " * 100_000):
+        marked = SPACE + text.replace(" ", SPACE)
+        units = _units(marked, joints).to_pylist()
+        assert "".join(units) == marked
+        ids = [i for u in units for i in spelled(model, u)]
+        assert ids == model.encode(text)
+
+
+def spelled(model, unit, memory={}):  # noqa: B006
+    """The pieces of a unit alone, without the space that the library puts in front of a text."""
+    if unit not in memory:
+        memory[unit] = model.encode(unit[1:]) if unit[0] == SPACE and unit[1:2] not in ("", SPACE) else model.encode("\n" + unit)[len(model.encode("\n")):]
+    return memory[unit]
