@@ -59,7 +59,7 @@ def allowance_list(src: Source, p: Params, site: Site = DEFAULT_SITE) -> DataFra
     df = (paid.join(people, "assignment_id").join(places, "position_id").join(fte_at(src, at), "assignment_id", "left")
           .join(pay, ["person_id", "assignment_id"], "left").join(manager_names(src, at), "manager_id")
           .join(manager_positions(src, at), "manager_assignment_id"))
-    return df.orderBy("element_start").select(
+    return df.orderBy("element_start", "assignment_id", "element_name").select(
         "element_name", D.dmy(F.col("element_start")).alias("element_start_date"), D.dmy(F.col("element_end")).alias("element_end_date"),
         "assignment_id", "description", "amount", "periodicity", "full_name", "person_number", "person_id",
         D.dmy(left_on).alias("termination_date"), D.terminated_flag(left_on, at).alias("terminated"), "position_id", "position_code",

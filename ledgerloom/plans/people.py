@@ -372,7 +372,7 @@ def leaving_list(src: Source, p: Params) -> DataFrame:
         df = as_of_join(df, side, [key], left_on).drop("effective_start_date", "effective_end_date")
     df = df.join(leaving_step(src, base), ["assignment_id", "grade_id"], "left")
     start, end = F.col("date_start"), F.col(left_on)
-    return df.orderBy(left_on).select(
+    return df.orderBy(left_on, "person_id", "assignment_id").select(
         "person_id", "full_name", "person_number", D.dmy(start).alias("start_date"), D.dmy(end).alias("termination_date"),
         D.tenure_text(start, end).alias("tenure"), D.tenure_months(start, end).alias("tenure_months"),
         F.col("action_reason").alias("termination_reason"), "termination_status", "assignment_id", "assignment_number", "assignment_name",
