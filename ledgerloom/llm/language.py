@@ -21,7 +21,9 @@ SMOOTHING = 0.5
 SWITCH = 12.0
 #: A script counts for a language if it holds this share of the language's letters.
 SCRIPT_SHARE = 0.01
-SLICE_CHARS = 2 << 20
+#: Letters are held for slices of this many bytes, scores of words for rounds of this many (or for one longer text).
+SLICE_BYTES = 1 << 18
+ROUND_BYTES = 4 << 20
 UNKNOWN = "und"
 
 #: First code point of ranges of scripts; letters outside belong to script 1 (Latin and others).
@@ -66,16 +68,21 @@ class LanguageModel:
     prior: np.ndarray
 
 
-def _letters(column: pa.Array, limit: int = SLICE_CHARS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per slice of rows: first row, end row, trigram bucket and script of every letter, first letter of each word, words
-    before each row (one more than rows), and place of each letter in its row."""
-    column = column.fill_null("")
-    size = pc.binary_length(column).to_numpy(zero_copy_only=False)
-    ends = np.cumsum(size.astype(np.int64))
+def _slices(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """First and end row of consecutive slices; one exceeds ``limit`` bytes only for one longer text."""
+    ends = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     low = 0
     while low < len(column):
         high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + limit, "right")))
-        part = pc.utf8_lower(column[low:high])
+        yield low, high
+        low = high
+
+
+def _letters(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per slice of rows: first row, end row, trigram bucket and script of every letter, first letter of each word, words
+    before each row (one more than rows), and place of each letter in its row."""
+    for low, high in _slices(column, SLICE_BYTES):
+        part = pc.utf8_lower(column[low:high].fill_null(""))
         at = np.concatenate([[0], np.cumsum(pc.utf8_length(part).to_numpy(zero_copy_only=False).astype(np.int64))])
         code = np.frombuffer("".join(part.to_pylist()).encode("utf-32-le"), np.uint32)
         script = script_table()[code]
@@ -90,7 +97,6 @@ def _letters(column: pa.Array, limit: int = SLICE_CHARS) -> Iterator[tuple[int,
         mixed = (before * np.uint64(0x9E3779B97F4A7C15) + code * np.uint64(0xC2B2AE3D27D4EB4F) + after * np.uint64(0x165667B19E3779F9)) * np.uint64(0xD6E8FEB86659FD93)
         starts = np.flatnonzero(new[:-1])
         yield low, high, (mixed >> np.uint64(64 - BITS)).astype(np.int64), kind, starts, np.searchsorted(row[starts], np.arange(high - low + 1)), letter - at[row]
-        low = high
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -161,6 +167,17 @@ def viterbi(emission: np.ndarray, rows: np.ndarray, switch: float) -> np.ndarray
     return label
 
 
+def _scored(m: LanguageModel, low: int, high: int, bucket: np.ndarray, script: np.ndarray, starts: np.ndarray, words: np.ndarray,
+            place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each word of a slice: scores, script, letters, place of its start and end; of each row: its words."""
+    emission = np.empty((len(starts), len(m.names)), np.float32)
+    if len(starts):
+        for i in range(len(m.names)):
+            emission[:, i] = np.add.reduceat(m.scores[i][bucket], starts)
+    last = np.append(starts[1:], len(bucket))[:len(starts)] - 1
+    return emission, script[starts], last - starts + 1, place[starts], place[last] + 1, np.diff(words)
+
+
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", prefix: str = "", spans: bool = False, switch: float = SWITCH) -> DataFrame:
     """All columns of ``docs`` and ``lang_pred``, ``score``, with ``spans`` also the labelled spans (start, end, lang).
 
@@ -177,20 +194,18 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", pref
         n = len(m.names)
         for batch in batches:
             text = batch.column(batch.schema.get_field_index(text_col)).cast(pa.string())
-            for low, high, bucket, script, starts, words, place in _letters(text, max(1 << 16, SLICE_CHARS * 4 // max(4, n))):
+            for low, high in _slices(text, max(1 << 16, ROUND_BYTES * 4 // max(4, n))):
                 pred, score, found = [UNKNOWN] * (high - low), np.zeros(high - low), [[] for _ in range(high - low)]
-                if n and len(starts):
-                    emission = np.empty((len(starts), n), np.float32)
-                    for i in range(n):
-                        emission[:, i] = np.add.reduceat(m.scores[i][bucket], starts)
-                    allowed = m.uses[:, script[starts]].T
+                emission, script, letters, first, end, counts = (np.concatenate(x) for x in zip(*(_scored(m, *piece) for piece in _letters(text[low:high])), strict=True))
+                words = np.concatenate([[0], np.cumsum(counts)])
+                if n and len(emission):
+                    allowed = m.uses[:, script].T
                     known = allowed.any(axis=1)
                     emission[~known] = 0
                     emission[known] = np.where(allowed[known], emission[known], emission[known].min(axis=1, keepdims=True) - 100)
                     if not known.all():
                         emission[~known] += (1e-6 * m.prior / max(1.0, m.prior.max())).astype(np.float32)
                     label = viterbi(emission, words, switch)
-                    letters = np.diff(np.append(starts, len(bucket)))
                     row = np.repeat(np.arange(high - low), np.diff(words))
                     share = np.bincount(row * n + label, weights=letters, minlength=(high - low) * n).reshape(-1, n)
                     whole = share.sum(axis=1)
@@ -200,9 +215,8 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", pref
                     pred = [m.names[t] if h else UNKNOWN for t, h in zip(top, has, strict=True)]
                     if spans:
                         new_span = np.flatnonzero(np.concatenate([[True], (label[1:] != label[:-1]) | (row[1:] != row[:-1])]))
-                        last = np.append(starts[1:], len(bucket)) - 1
                         for a, b in zip(new_span, np.append(new_span[1:], len(label)) - 1, strict=True):
-                            found[row[a]].append({"start": int(place[starts[a]]), "end": int(place[last[b]]) + 1, "lang": m.names[label[a]]})
+                            found[row[a]].append({"start": int(first[a]), "end": int(end[b]), "lang": m.names[label[a]]})
                 out = [batch.column(i)[low:high] for i in range(batch.num_columns)] + [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
                 if spans:
                     out.append(pa.array(found, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))))
