@@ -34,6 +34,7 @@ BATCH_BYTES = 16 << 20
 SHARD_BYTES = 32 << 20
 SPACE = "▁"
 SLICE = 1 << 18
+STRETCH = 256
 
 
 @dataclass(frozen=True)
@@ -78,6 +79,11 @@ class Pieces:
     def longest(self) -> int:
         return max((len(r[0]) for r in self.rows), default=1)
 
+    @property
+    def bits(self) -> tuple[int, int]:
+        """Bits for the length of a piece and for id + 1; beside them a long has room for any start in a string."""
+        return self.longest.bit_length(), (max((r[1] for r in self.rows), default=0) + 1).bit_length()
+
 
 def _packed(values: pa.Array) -> bytes:
     sink = pa.BufferOutputStream()
@@ -187,23 +193,26 @@ def _distinct(groups: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([group.column("shard")[0].as_py()] * len(piece), pa.int32()), piece], names=["shard", "word"])
 
 
-def _merged(n: int, edges: list[int], rank: list[float]) -> list[int]:
-    """Ends of the pieces of a word after merging the best-ranked adjacent pair again and again (the leftmost of equals)."""
-    span = {e >> 20: rank[e & 0xFFFFF] for e in edges if e & 0xFFFFF}
+def _merged(n: int, found: memoryview, first: int, longest: int, rank: list[float | None]) -> list[int]:
+    """Ends of the pieces of a word after merging the best-ranked adjacent pair again and again (the leftmost of equals).
+    From ``first`` on, ``found`` holds ``longest`` numbers per start: id + 1 of the piece of each length, 0 where there is none."""
+    def worth(start: int, end: int) -> float | None:
+        return rank[found[first + start * longest + end - start - 1]] if end - start <= longest else None
+
     after, before, alive = list(range(1, n + 1)), list(range(-1, n)), [True] * n
-    heap = [(r, key >> 24) for i in range(n - 1) if (r := span.get(key := i << 24 | i + 2)) is not None]
+    heap = [(r, i) for i in range(n - 1) if (r := worth(i, i + 2)) is not None]
     heapify(heap)
     while heap:
         r, i = heappop(heap)
         j = after[i] if alive[i] else n
-        if j >= n or span.get(i << 24 | after[j]) != r:
+        if j >= n or worth(i, after[j]) != r:
             continue
         alive[j] = False
         after[i] = after[j]
         if after[i] < n:
             before[after[i]] = i
         for k in (before[i], i):
-            if k >= 0 and after[k] < n and (r := span.get(k << 24 | after[after[k]])) is not None:
+            if k >= 0 and after[k] < n and (r := worth(k, after[after[k]])) is not None:
                 heappush(heap, (r, k))
     out, i = [], 0
     while i < n:
@@ -213,42 +222,50 @@ def _merged(n: int, edges: list[int], rank: list[float]) -> list[int]:
 
 
 def _merge_words(by: tuple[str, ...], vocabulary: Pieces):
-    rank = np.zeros(1 << 20, np.float64)
+    rank: list[float | None] = [None] * (max((r[1] for r in vocabulary.rows), default=0) + 2)
     for _, i, score in vocabulary.rows:
         rank[i + 1] = -score
-    rank = rank[:max((r[1] for r in vocabulary.rows), default=0) + 2].tolist()
-    other = vocabulary.byte_ids
+    other, longest = vocabulary.byte_ids, vocabulary.longest
+    size_bits, id_bits = vocabulary.bits
 
-    def spell(words: list[str], lattices: list[list[int]]) -> pa.Array:
+    def spell(words: list[str], edge: np.ndarray, counts: np.ndarray) -> pa.Array:
         values: list[int] = []
         ends = [0]
-        for word, edges in zip(words, lattices, strict=True):
-            ids = {e >> 20: (e & 0xFFFFF) - 1 for e in edges}
+        n = np.fromiter(map(len, words), np.int64, len(words))
+        firsts = (np.cumsum(n) - n) * longest
+        table = np.zeros(int(n.sum()) * longest, np.int32)
+        table[np.repeat(firsts, counts) + (edge >> size_bits + id_bits) * longest + (edge >> id_bits & (1 << size_bits) - 1) - 1] = edge & (1 << id_bits) - 1
+        found = memoryview(table)
+        for word, first in zip(words, firsts.tolist(), strict=True):
             start = 0
-            for end in _merged(len(word), edges, rank):
-                i = ids[start << 24 | end]
+            for end in _merged(len(word), found, first, longest, rank):
+                i = found[first + start * longest + end - start - 1] - 1
                 values += [i] if i >= 0 else [other[b] for b in word[start:end].encode()] if other else [vocabulary.unknown]
                 start = end
             ends.append(len(values))
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # the edges of a word arrive one after the other; the last word of a batch may go on in the next
-        held: pa.Table | None = None
+        # the edges of a word arrive one after the other; the last word of a batch may go on in the next ones
+        held: list[pa.RecordBatch] = []
         for batch in chain(batches, [None]):
-            table = held if batch is None else pa.concat_tables([held, pa.Table.from_batches([batch])]) if held else pa.Table.from_batches([batch])
-            if table is None or not table.num_rows:
+            if batch is not None:
+                held.append(batch)
+                if not batch.num_rows or held[0].num_rows and held[0].column("number")[0] == batch.column("number")[-1]:
+                    continue
+            if not any(b.num_rows for b in held):
                 continue
+            table = pa.Table.from_batches(held)
             number, edge = table.column("number").to_numpy(), table.column("edge").to_numpy()
             starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
-            held = None
+            held = []
             if batch is not None:
-                held, table = table.slice(int(starts[-1])), table.slice(0, int(starts[-1]))
+                held, table = table.slice(int(starts[-1])).to_batches(), table.slice(0, int(starts[-1]))
                 edge, starts = edge[:starts[-1]], starts[:-1]
             if len(starts):
                 first = table.take(pa.array(starts)).combine_chunks()
-                lattices = [x.tolist() for x in np.split(edge, starts[1:])]
-                yield pa.RecordBatch.from_arrays([*(first.column(c).combine_chunks() for c in by), spell(first.column("word").to_pylist(), lattices)], names=[*by, "ids"])
+                counts = np.diff(np.append(starts, len(edge)))
+                yield pa.RecordBatch.from_arrays([*(first.column(c).combine_chunks() for c in by), spell(first.column("word").to_pylist(), edge, counts)], names=[*by, "ids"])
     return run
 
 
@@ -272,15 +289,21 @@ def encode_words(words: DataFrame, vocabulary: Pieces, by: tuple[str, ...] = ("w
     """
     spark, longest = words.sparkSession, vocabulary.longest
     numbered = words.select(*by, F.monotonically_increasing_id().alias("number"))
-    starts = numbered.select(*by, "number", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
-    cells = (starts.select(*by, "number", "start", F.explode(F.sequence(F.col("start") + 1, F.least(F.col("start") + longest, F.length("word")))).alias("end"))
-             .select(*by, "number", "start", "end", F.substring(F.col("word"), F.col("start") + 1, F.col("end") - F.col("start")).alias("piece")))
+    # a substring is found by counting from the start, so long words are read by stretches, with as much as a piece may reach beyond
+    reading = F.lit(f"(?s)(?=(.{{1,{STRETCH + longest - 1}}})).{{1,{STRETCH}}}")
+    stretches = numbered.select(*by, "number", F.posexplode(F.when(F.length("word") <= STRETCH, F.array("word")).otherwise(F.regexp_extract_all("word", reading, F.lit(1)))).alias("nth", "part"))
+    starts = stretches.select(*by, "number", "nth", "part", F.explode(F.sequence(F.lit(0), F.least(F.lit(STRETCH), F.length("part")) - 1)).alias("at"))
+    cells = (starts.select(*by, "number", "nth", "part", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("part") - F.col("at")))).alias("size"))
+             .select(*by, "number", (F.col("nth") * STRETCH + F.col("at")).alias("start"), (F.col("nth") * STRETCH + F.col("at") + F.col("size")).alias("end"),
+                     F.substring(F.col("part"), F.col("at") + 1, F.col("size")).alias("piece")))
     table = F.broadcast(vocabulary.table(spark))
     # single characters stay in the lattice with or without a piece
     edges = cells.join(table, "piece", "left").filter("id is not null or end = start + 1")
     if vocabulary.kind == "bpe":
-        # one long per edge: start, end, id + 1 (0 where there is no piece); a word's edges stay together, as nothing was shuffled
-        packed = (F.shiftleft(F.col("start").cast("long"), 44) + F.shiftleft(F.col("end").cast("long"), 20) + F.coalesce(F.col("id") + 1, F.lit(0))).alias("edge")
+        # one long per edge: start, length, id + 1 (0 where there is no piece); a word's edges stay together, as nothing was shuffled
+        size_bits, id_bits = vocabulary.bits
+        packed = (F.shiftleft(F.col("start").cast("long"), size_bits + id_bits) + F.shiftleft((F.col("end") - F.col("start")).cast("long"), id_bits)
+                  + F.coalesce(F.col("id") + 1, F.lit(0))).alias("edge")
         types = dict(words.dtypes)
         # the first edge of a word carries it, the others need not
         led = [F.when((F.col("start") == 0) & (F.col("end") == 1), F.col(c)).alias(c) for c in by]

@@ -23,6 +23,18 @@ def test_against_library(spark, small):
     assert encode(df.limit(0), vocabulary).count() == 0
 
 
+def test_unit_of_any_length(spark):
+    vocabulary, model = Pieces.load(MODEL), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = [" " * 600_000, "x" + "-" * 600_000 + "y", "a" * 255, "ab " + "a" * 256, "a" * 257 + "=" * 1000 + "\U0001F600" * 300]
+    df = spark.createDataFrame([(i, t, None, None, 0) for i, t in enumerate(texts)], SCHEMA)
+    assert max(len(u) for u in _units(SPACE + texts[0].replace(" ", SPACE), vocabulary.joints).to_pylist()) > 600_000
+    out = encode(df, vocabulary)
+    rows = {r.doc_id: r for r in out.withColumn("text", decode(F.col("ids"), vocabulary)).collect()}
+    for i, text in enumerate(texts):
+        assert rows[i].text == text
+        assert rows[i].ids == model.encode(text)
+
+
 def test_viterbi(spark):
     rows = [("a", 0, -1.0), ("b", 1, -1.0), ("ab", 2, -1.5), ("ba", 3, -0.2), ("abb", 4, -3.2)]
     vocabulary = Pieces(tuple(rows), (), 9, ("61", "62", "6162", "6261", "616262", "", "", "", "", ""), "unigram")
