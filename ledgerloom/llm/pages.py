@@ -1,8 +1,9 @@
 """Main text of HTML pages by two passes over blocks.
 
 The first pass classifies each block by stop-word density, length and link density; blocks inside page furniture (menus,
-forms, notices and the like, by element or by class and id) are never text.  In the second pass short and undecided blocks
-take the label of their nearest decided neighbours.
+forms, notices and the like, by element or by class and id) are never text, but a wrapper that holds an article is layout
+and not furniture, whatever its class says.  In the second pass short and undecided blocks take the label of their nearest
+decided neighbours.
 """
 
 from __future__ import annotations
@@ -29,10 +30,16 @@ el los las y del que en por con para una su al lo como más pero sus este ya o f
 """.split())
 
 _RAW = r"script|style|noscript|template|svg|math|iframe|object|canvas|select|textarea|title"
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z|(?=<))", re.S | re.I)
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?:svg|math|canvas|object)(?![\w:-])(?:[^<>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>|<({_RAW})(?![\w:-])(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z|(?=<))", re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_FURNITURE = re.compile(r"(?<![a-z])(ad|ads|advert\w*|banner|sponsor\w*|promo\w*|menu|nav\w*|breadcrumbs?|sidebar|aside|footer|foot|header|masthead|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|"
-                        r"share|sharing|social|related|recommend\w*|comments?|comment-?list|disqus|replies|login|signup|search|pagination|pager|widget|copyright|legal|disclaimer|complementary|contentinfo|navigation)(?![a-z])", re.I)
+#: Other people's texts and teasers: an article in there is none of the page's own.
+_FOREIGN = re.compile(r"ad|ads|advert[a-z]*|sponsor[a-z]*|promo[a-z]*|related|recommend[a-z]*|comments?|disqus|replies")
+_FURNITURE = re.compile(rf"{_FOREIGN.pattern}|banner|menu|nav[a-z]*|breadcrumbs?|sidebar|aside|footer|foot|header|masthead|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|"
+                        r"share|sharing|social|login|signup|search|pagination|pager|widget|copyright|legal|disclaimer|complementary|contentinfo")
+#: Parts of a name that say where or in what form the furniture stands; any other part makes it a name of something else.
+_NEUTRAL = frozenset("area bar block bottom box button buttons column container form global group icons inner item items left links list main outer page panel primary right "
+                     "secondary section site slot top unit wrap wrapper".split())
+_LETTERS = re.compile(r"[a-z]+")
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr nobr".split())
 _BARE = frozenset("nav header footer aside form button menu dialog fieldset head input option noframes".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -40,19 +47,40 @@ _SPACES = re.compile(r"[\s ]+")
 _WORDS = re.compile(r"\w+")
 
 
+@dataclass
+class Wrapper:
+    """An element that is furniture by class or id alone, or a form, until it turns out to hold an article."""
+    foreign: bool
+    holds: bool = False
+
+
 @dataclass
 class Block:
     parts: list[str] = field(default_factory=list)
     linked: int = 0
-    furniture: bool = False
+    bare: bool = False
+    wrappers: list[Wrapper] = field(default_factory=list)
     heading: bool = False
     inside: bool = False
     text: str = ""
 
+    @property
+    def furniture(self) -> bool:
+        """Holds once the whole page was read."""
+        return self.bare or any(not w.holds for w in self.wrappers)
+
+
+def _named(marks: str) -> Wrapper | None:
+    """Furniture by a whole class, id or role: each part of it is a furniture word or says where that stands."""
+    parts = [found for mark in marks.lower().split() if (found := _LETTERS.findall(mark)) and all(len(x) == 1 or x in _NEUTRAL or _FURNITURE.fullmatch(x) for x in found)]
+    names = [x for found in parts for x in found if _FURNITURE.fullmatch(x)]
+    return Wrapper(any(_FOREIGN.fullmatch(x) for x in names)) if names else None
+
 
 def blocks(page: str) -> Iterator[Block]:
     """Text blocks in page order; references are decoded and white space is one space."""
     block, stack, links = Block(), [], 0
+    wrappers: list[Wrapper] = []
     bad = inside = 0
 
     def closed() -> Block | None:
@@ -62,7 +90,8 @@ def blocks(page: str) -> Iterator[Block]:
     def add(text: str) -> None:
         if text:
             block.parts.append(text)
-            block.furniture |= bad > 0
+            block.bare |= bad > 0
+            block.wrappers += wrappers
             block.inside |= inside > 0
             if links:
                 block.linked += len(_SPACES.sub(" ", text).strip())
@@ -86,20 +115,30 @@ def blocks(page: str) -> Iterator[Block]:
         if token[2]:
             if any(entry[0] == name for entry in stack):
                 while stack:
-                    old, was_bad, was_inside = stack.pop()
+                    old, was_bad, was_inside, was_wrapper = stack.pop()
                     bad, inside = bad - was_bad, inside - was_inside
+                    if was_wrapper:
+                        wrappers.pop()
                     if old == name:
                         break
         elif name not in _VOID and not token[4].rstrip().endswith("/"):
             if name in ("p", "li", "dt", "dd", "tr", "td", "th") and stack and stack[-1][0] == name:
-                _, was_bad, was_inside = stack.pop()
+                _, was_bad, was_inside, was_wrapper = stack.pop()
                 bad, inside = bad - was_bad, inside - was_inside
+                if was_wrapper:
+                    wrappers.pop()
             marks = " ".join(a[1] or a[2] or a[3] for a in _ATTRIBUTE.findall(token[4])) if token[4] else ""
-            main = name in ("article", "main") or (name == "body")
+            own = name in ("article", "main")
             # a header within an article holds its heading
-            is_bad = (name in _BARE and not (name == "header" and inside)) or (not main and bool(marks) and bool(_FURNITURE.search(marks)))
-            stack.append((name, int(is_bad), int(name in ("article", "main"))))
-            bad, inside = bad + int(is_bad), inside + int(name in ("article", "main"))
+            is_bad = name in _BARE and name != "form" and not (name == "header" and inside)
+            wrapper = Wrapper(False) if name == "form" else _named(marks) if marks and not own and name not in ("html", "body") else None
+            if wrapper:
+                wrappers.append(wrapper)
+            if name == "main" or own and not any(w.foreign for w in wrappers):
+                for w in wrappers:
+                    w.holds = True
+            stack.append((name, int(is_bad), int(own), bool(wrapper)))
+            bad, inside = bad + int(is_bad), inside + int(own)
         block.heading = bool(re.fullmatch("h[1-6]", name)) and not token[2]
     add(page[at:])
     if (done := closed()) is not None:

@@ -78,3 +78,16 @@ def test_pages(spark, small):
         body = re.search(r"<article>(.*?)(</article>|\Z)", r.html, re.S)[1]
         want = [x for x in (re.sub(r"[\s ]+", " ", __import__("html").unescape(re.sub(r"<[^>]*>", " " if "<br" in b else "", b))).strip() for b in re.split(r"</?(?:p|h1)>", body)) if x]
         assert r.text.replace(" ", "") == "\n".join(want).replace(" ", "") and r.n_chars == len(r.text)
+
+
+def test_wrapped_pages():
+    prose = "This is the text of an article that has been written for the reader, and it goes on for more than a line or two so that it is long enough to be taken for text by the rules."
+    prose = f"{prose} {prose}"
+    for mark in ("layout has-sidebar", "hfeed no-sidebar", "page with-comments", "search-results", "legal-text"):
+        assert main_text(f'<body><div class="{mark}"><div class="sidebar">{prose}</div><p>{prose} 1</p></div></body>') == f"{prose} 1", mark
+    for mark in ("sidebar", "site-header", "has-sidebar", "nav"):
+        page = f'<div class="{mark}"><h1>Title</h1><article><p>{prose} 1</p></article><p>{prose} 2</p><div class="comments"><article>{prose} 3</article></div></div><div class="site-footer">{prose}</div>'
+        assert main_text(page) == f"Title\n{prose} 1\n{prose} 2", mark
+    assert main_text(f'<form id="f"><div class="ads"><main>{prose} 1</main></div></form>') == f"{prose} 1"
+    for name in ("svg", "math", "canvas", "object"):
+        assert main_text(f'<p>{prose} 1</p><{name} class="a>b"/><p>{prose} 2</p><{name} x="1">{prose} 3</{name}><{name}-list>{prose} 4</{name}-list>') == "\n".join(f"{prose} {i}" for i in (1, 2, 4))
