@@ -20,7 +20,10 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 MIN_INSTANCES = 5
 CONFIDENCE = 0.9
-SMOOTHING = 1.0
+#: Five seeds beside three unseen instances are just enough for the confidence.
+SMOOTHING = 0.25
+#: An unseen instance is no evidence against a pattern, but where they are the larger part (above 0.52), it is not trusted.
+UNSEEN = 0.1
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -30,7 +33,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 #: Tokens that may be identifiers: they hold a digit or an @ and five characters at least.
 _TOKEN = re.compile(r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D0-9@]*[0-9@])[^\x20\x09-\x0D]{5,}")
-_WORDS_BEFORE = re.compile(r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*\Z")
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _WORD_AFTER = re.compile(r"[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)")
 #: Context is looked for within so many characters of a mention.
 CONTEXT_CHARS = 120
@@ -71,15 +74,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def contexts(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns of a mention: the two words before it, and the words on both sides."""
-    before = _WORDS_BEFORE.search(text[max(0, start - CONTEXT_CHARS):start])
-    after = _WORD_AFTER.match(text, end, min(len(text), end + CONTEXT_CHARS))
+    """Lexical patterns of a mention: one and two words before it (the start of the text counts as an empty word), one word
+    after it, and the words on both sides."""
+    low = max(0, start - CONTEXT_CHARS)
     shape = lambda w: _DIGIT.sub("9", w.lower())
+    before = [shape(w) for w in _WORD.findall(text, low, start)[-2:]]
+    after = _WORD_AFTER.match(text, end, min(len(text), end + CONTEXT_CHARS))
     out = []
     if before:
-        out.append(f"{shape(before[1])} {shape(before[2])} _")
-        if after:
-            out.append(f"{shape(before[2])} _ {shape(after[1])}")
+        out.append(f"{before[-1]} _")
+        if len(before) > 1 or low == 0:
+            out.append(f"{before[0] if len(before) > 1 else ''} {before[-1]} _")
+    if after:
+        out.append(f"_ {shape(after[1])}")
+        if before:
+            out.append(f"{before[-1]} _ {shape(after[1])}")
     return out
 
 
@@ -117,9 +126,9 @@ def _mentions(docs: DataFrame) -> DataFrame:
 def good_patterns(edges: DataFrame, rounds: int = ROUNDS, min_instances: int = MIN_INSTANCES, confidence: float = CONFIDENCE) -> DataFrame:
     """(pattern, kind, score) of high-confidence patterns from distinct (pattern, value, kind) pairs; kind -1 is unknown.
 
-    A pattern's score for a kind is the belief in its instances of that kind over all its instances (smoothed); an unknown
-    instance takes the belief of its best pattern.  Sums are pre-aggregated, so a pattern or value of very many mentions is
-    no single task's load.
+    A pattern's score for a kind is the belief in its instances of that kind over the belief in those of all kinds
+    (smoothed, so that support counts); instances without belief weigh ``UNSEEN``.  An unknown instance takes the belief of
+    its best pattern.  Sums are pre-aggregated, so a pattern or value of very many mentions is no single task's load.
     """
     size = edges.groupBy("pattern").agg(F.countDistinct("value").alias("size")).filter(F.col("size") >= min_instances)
     graph = cut(edges.join(size, "pattern"))
@@ -127,9 +136,12 @@ def good_patterns(edges: DataFrame, rounds: int = ROUNDS, min_instances: int = M
     seeds = beliefs
     scored = None
     for _ in range(rounds):
-        sums = (graph.select("pattern", "value", "size").distinct().join(beliefs, "value").groupBy("pattern", "kind")
-                .agg(F.sum("belief").alias("mass"), F.first("size").alias("size")))
-        scored = cut(sums.withColumn("score", F.col("mass") / (F.col("size") + F.lit(SMOOTHING))).filter(F.col("mass") >= min_instances))
+        sums = (graph.select("pattern", "value", "size").distinct().join(beliefs, "value").groupBy("pattern")
+                .agg(F.first("size").alias("size"), F.sum("belief").alias("decided"),
+                     F.array(*(F.struct(F.lit(k).alias("kind"), F.sum(F.when(F.col("kind") == k, F.col("belief"))).alias("mass")) for k in range(len(KINDS)))).alias("kinds")))
+        weight = F.col("decided") + F.lit(UNSEEN) * F.greatest(F.col("size") - F.col("decided"), F.lit(0.0)) + F.lit(SMOOTHING)
+        scored = cut(sums.select("pattern", weight.alias("weight"), F.inline("kinds")).filter(F.col("mass") >= min_instances)
+                     .select("pattern", "kind", "mass", (F.col("mass") / F.col("weight")).alias("score")))
         lifted = (graph.filter("kind < 0").select("pattern", "value").distinct().join(scored.filter(F.col("score") >= confidence), "pattern")
                   .groupBy("value", "kind").agg(F.max("score").alias("belief")))
         beliefs = seeds.unionByName(lifted).groupBy("value", "kind").agg(F.max("belief").alias("belief"))

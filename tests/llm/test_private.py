@@ -46,3 +46,27 @@ def test_bootstrapping_and_odd_rows(spark):
     rows = {r.doc_id: r for r in masked.collect()}
     assert rows[100].text == "please write mail to [EMAIL] for more" and rows[100].n_chars == len(rows[100].text) and rows[102].text is None
     assert digest(find_private(df.limit(0))).count() == 0
+
+
+def test_cues_with_unseen_identifiers(spark):
+    def cue(first, lead, seeds, unseen, tail):
+        texts = [f"{lead} {x}{tail}" for x in seeds + unseen]
+        return [(first + i, t, None, None, 0) for i, t in enumerate(texts)], set(range(first + len(seeds), first + len(texts)))
+
+    mails, phones = [f"user{i}@host{i}.example.com" for i in range(40)], [f"+49 {i} 5550{i:03}" for i in range(10, 40)]
+    found, refused = [], []
+    for (rows, ids), into in ((cue(0, "please write mail to", mails[:30], [f"u{i}(at)h{i}" for i in range(20)], " for more"), found),
+                              (cue(100, "Phone:", phones[:12], [f"0049/{i}/55x" for i in range(10, 13)], ""), found),
+                              (cue(200, "then ask", mails[30:35], [], ""), found),
+                              (cue(300, "part number is", mails[:10], [f"A-{i}-77" for i in range(10, 40)], " in stock"), refused),
+                              (cue(400, "seen near", mails[:9] + phones[12:16], [f"b9{i}zz" for i in range(10, 14)], " by us"), refused)):
+        into.append((rows, ids))
+    found[2][0].append((250, "then ask nobody9at9home", None, None, 0))
+    found[2][1].add(250)
+    docs = [r for rows, _ in found + refused for r in rows]
+    out = {r.doc_id: r for r in digest(find_private(spark.createDataFrame(docs, SCHEMA))).collect()}
+    assert len(out) == len(docs)
+    for i, (_, ids) in enumerate(found):
+        assert {k for k in ids if out[k].spans.startswith("phone:" if i == 1 else "email:")} == ids
+    for _, ids in refused:
+        assert {k for k in ids if out[k].spans} == set()
