@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import language, mixing, near_join, near_vectors, pages, pieces, private, quality, repeats, token_count
+from ledgerloom.llm import (
+    language, merkle, mixing, near_join, near_vectors, oracles, pages, pieces, private, quality, repeats, spelling, token_count,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,3 +84,17 @@ def op9_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.repeated_spans(table(spark, folder, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"))
+
+
+@query
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+ORACLES["op11_merkle"] = oracles.merkle()
+ORACLES["op13_spelling"] = oracles.spelling()
