@@ -83,3 +83,16 @@ walk AS (
     SELECT w, w AS at, form AS further FROM formed
     UNION ALL SELECT walk.w, walk.further, formed.form FROM walk JOIN formed ON formed.w = walk.further)
 SELECT formed.w AS word, form, walk.at AS root, n, n_near, form_n FROM formed JOIN walk ON walk.w = formed.w AND walk.further IS NULL"""
+
+
+def substrings(length: int = 35) -> str:
+    return rf"""WITH texts AS (SELECT row_number() OVER () AS num, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (SELECT num, unnest(range(1, len(words) - {length} + 2)) AS s, words FROM texts),
+hashed AS (SELECT num, s, array_to_string(words[s:s + {length - 1}], ' ') AS w FROM windows),
+again AS (SELECT num, s FROM hashed QUALIFY count(*) OVER (PARTITION BY w) > 1),
+gone AS (SELECT DISTINCT num, unnest(range(s, s + {length})) AS i FROM again),
+placed AS (SELECT num, doc_id, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS i FROM texts),
+kept AS (
+    SELECT placed.num, count(gone.i) AS n_removed, count(*) AS n_words, string_agg(w, ' ' ORDER BY placed.i) FILTER (gone.i IS NULL) AS rest
+    FROM placed LEFT JOIN gone ON gone.num = placed.num AND gone.i = placed.i GROUP BY placed.num)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256 FROM texts LEFT JOIN kept USING (num)"""

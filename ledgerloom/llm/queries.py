@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm import (
-    language, merkle, mixing, near_join, near_vectors, oracles, pages, pieces, private, quality, repeats, spelling, token_count,
+    language, merkle, mixing, near_join, near_vectors, oracles, pages, pieces, private, quality, repeats, spelling, substrings, token_count,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,11 @@ def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
 
 ORACLES["op11_merkle"] = oracles.merkle()
 ORACLES["op13_spelling"] = oracles.spelling()
+
+
+@query
+def op12_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.repeated_words(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLES["op12_substrings"] = oracles.substrings()
