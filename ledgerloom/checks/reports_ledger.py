@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+
+from pyspark.sql import DataFrame
 
 from ledgerloom.checks.registry import register
 from ledgerloom.checks.reports_finance import PLAIN, bills, d, sentence
 from ledgerloom.functions.codes import COST_CENTRE_GROUPS
 from ledgerloom.functions.params import Params
 from ledgerloom.plans import ledger as L, versions as V
+from ledgerloom.session import ensure_checkpoint_dir
+from ledgerloom.sources.catalog import Source
 from ledgerloom.streaming import alerts as S
 
 STAFF = """
@@ -191,5 +196,15 @@ _ALERT = f"""SELECT DISTINCT h.requisition_number, h.description, {sentence('h.d
         l.uom_code AS uom, l.suggested_vendor_name, l.suggested_vendor_site AS site, l.suggested_vendor_contact_phone AS phone,
         l.suggested_vendor_contact_email AS email, l.suggested_supplier_item_number AS item_number {_REQ}"""
 register("report_r20", lambda s: S.new_supplier_alerts(s, NOW), _ALERT)
-register("daily_alerts", lambda s: S.new_supplier_alerts(s, NOW), _ALERT)
+
+
+def _streamed_alerts(s: Source) -> DataFrame:
+    """Headers and lines as files, in different order, then the stream over them in several micro-batches."""
+    folder = f"{ensure_checkpoint_dir(s.spark)}/alerts-{uuid.uuid4().hex}"
+    s.table("por_requisition_headers_all").repartition(3, "requisition_header_id").write.parquet(f"{folder}/por_requisition_headers_all")
+    s.table("por_requisition_lines_all").repartition(4, "line_number", "requisition_header_id", "quantity").write.parquet(f"{folder}/por_requisition_lines_all")
+    return S.daily_alerts(s, NOW, folder, files_per_batch=2)
+
+
+register("daily_alerts", _streamed_alerts, _ALERT)
 register("report_r21", lambda s: S.alert_trigger(s, NOW), f"SELECT 'true' AS fired {_REQ}")

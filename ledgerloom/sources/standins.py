@@ -327,7 +327,8 @@ _add("por_requisition_headers_all", """
 _REQ = """cast(value AS decimal(18,2)) AS unit_price, cast(1 + event_id % 9 AS decimal(18,2)) AS quantity, 'ea' AS uom_code,
           'Vendor ' || cast(user_id AS string) AS suggested_vendor_name, 'Main' AS suggested_vendor_site,
           cast(NULL AS string) AS suggested_vendor_contact_phone, 'v' || cast(user_id AS string) || '@corp.org' AS suggested_vendor_contact_email,
-          CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'I' || cast(event_id % 50 AS string) END AS suggested_supplier_item_number"""
+          CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'I' || cast(event_id % 50 AS string) END AS suggested_supplier_item_number,
+          ts - INTERVAL '1' HOUR * (event_id % 48) AS creation_date"""
 _add("por_requisition_lines_all", _union(
     f"""SELECT event_id AS requisition_header_id, 1 AS line_number, {_REQ},
                CASE WHEN event_type = 'error' THEN 'Y' WHEN event_type = 'view' THEN NULL ELSE 'N' END AS new_supplier_flag FROM {{events}}""",

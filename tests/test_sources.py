@@ -1,10 +1,11 @@
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.session import cut, ensure_checkpoint_dir
 from ledgerloom.sources.catalog import DatabaseSource, FolderSource, StandInSource, literal_row
-from ledgerloom.sources.sinks import write_report
+from ledgerloom.sources.sinks import Folder, write_once, write_report
 from ledgerloom.sources.standins import STANDINS, as_cte, references
 from tests.conftest import rows
 
@@ -40,6 +41,37 @@ def test_stand_ins_are_complete(spark, small):
     assert src.table("li").groupBy("l_orderkey", "l_linenumber").count().filter("count > 1").isEmpty()
 
 
+def test_failed_report_leaves_the_last_one(spark, tmp_path):
+    """A job that fails in the middle of writing, and a move that the file system refuses."""
+    path = str(tmp_path / "report")
+    write_report(spark.range(10), path)
+    broken = spark.range(0, 4000, 1, 8).select(F.when(F.col("id") == 3999, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        write_report(broken, path)
+    assert spark.read.parquet(path).count() == 10 and [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["report"]
+    write_report(spark.range(3), path)
+    assert spark.read.parquet(path).count() == 3 and [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["report"]
+    assert not write_once(spark.range(5), path) and spark.read.parquet(path).count() == 3
+    with pytest.raises(OSError):
+        Folder(spark, str(tmp_path / "none")).move(Folder(spark, path))
+
+
+def test_refused_move_puts_the_old_report_back(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "report")
+    write_report(spark.range(10), path)
+    move = Folder.move
+
+    def refuse(self, target):
+        if "-new-" in self.path:
+            raise OSError("refused")
+        move(self, target)
+
+    monkeypatch.setattr(Folder, "move", refuse)
+    with pytest.raises(OSError, match="refused"):
+        write_report(spark.range(3), path)
+    assert spark.read.parquet(path).count() == 10 and [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["report"]
+
+
 def test_sink_and_cut(spark, tmp_path):
     df = literal_row(spark, a=1, b="x,\"y\"")
     for fmt in ("parquet", "csv"):
