@@ -191,9 +191,9 @@ register("version_as_of", lambda s: T.version_as_of(s.table("po_lines_archive_al
          .select("po_line_id", "version_id", "from_co_seq", "to_co_seq"),
          """SELECT a.po_line_id, v.version_id, a.from_co_seq, a.to_co_seq FROM {po_lines_archive_all} a JOIN {po_versions} v USING (po_header_id)
             WHERE v.co_sequence >= a.from_co_seq AND v.co_sequence < a.to_co_seq""")
-register("changed_in_version", lambda s: Z.changed_in_version(
-    T.version_as_of(s.table("po_lines_archive_all"), s.scan("po_versions", "po_header_id version_id co_sequence"), ["po_header_id"]), "from_co_seq", "to_co_seq",
-    [(s.table("po_line_locations_archive_all"), "po_line_id"), (s.table("po_distributions_archive_all"), "po_line_id")]).select("po_line_id", "version_id"),
+register("changed_in_version", lambda s: T.changes_at(
+    s.table("po_lines_archive_all"), s.scan("po_versions", "po_header_id version_id co_sequence"), ["po_header_id"],
+    [s.table("po_line_locations_archive_all"), s.table("po_distributions_archive_all")], "po_line_id").select("po_line_id", "version_id"),
     f"WITH {AUDIT} SELECT po_line_id, version_id FROM lv")
 register("document_status", lambda s: Z.header_versions(s, MAR).select("version_id", "headerstatus", "originator_id", "po_date_display"),
          f"WITH {AUDIT} SELECT version_id, headerstatus, originator_id, po_date_display FROM hv")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -67,11 +69,56 @@ def overlaps(low: Column, high: Column | None, start: Column, end: Column, today
     return (end >= low) & (start <= until)
 
 
+def _blocks(low: Column, high: Column, levels: Column) -> Column:
+    """The aligned blocks (level, number) of 2 ** level versions each that make up ``low <= v < high``: two a level at most."""
+    low, high = low.cast("bigint"), high.cast("bigint")
+    shift = lambda way, c, by: F.call_function(f"shift{way}", c, by)
+
+    def level(i: Column) -> Column:
+        first, end = shift("right", low + shift("left", F.lit(1).cast("bigint"), i) - 1, i), shift("right", high, i)
+        odd = [F.when((first < end) & (c % 2 == 1), F.struct(i.alias("level"), n.alias("number"))) for c, n in ((first, first), (end, end - 1))]
+        return F.filter(F.array(*odd), lambda b: b.isNotNull())
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), levels), level))
+
+
 def version_as_of(archive: DataFrame, versions: DataFrame, keys: Sequence[str], version: str = "co_sequence",
                   low: str = "from_co_seq", high: str = "to_co_seq") -> DataFrame:
-    """Every version of a document with the archive rows in force at it (``low <= v < high``)."""
-    right = versions.withColumnsRenamed({k: f"_v_{k}" for k in keys})
-    cond = (F.col(low) <= F.col(version)) & (F.col(high) > F.col(version))
-    for k in keys:
-        cond = (F.col(k) == F.col(f"_v_{k}")) & cond
-    return archive.join(right, cond).drop(*(f"_v_{k}" for k in keys))
+    """Every version of a document with the archive rows in force at it (``low <= v < high``; versions are not negative).
+
+    A join by equality: a row's stretch of versions is cut into aligned blocks of 1, 2, 4 ... versions, of which each version
+    has one a level, so that a pair meets in exactly one block.  Rows and versions are copied as often as the logarithm of
+    the document's last version, and a document of very many rows and versions spreads over tasks.
+    """
+    last = versions.groupBy(*keys).agg(F.max(version).alias("_last"))
+    named = {k: f"_v_{k}" for k in keys}
+    match = lambda side: reduce(and_, (F.col(k) == F.col(f"{side}{k}") for k in keys))
+    levels = F.floor(F.log2(F.col("_last") + F.lit(1))).cast("int")
+    ends = last.withColumnsRenamed({k: f"_l_{k}" for k in keys})
+    cut_rows = (archive.filter(F.col(low) < F.col(high)).join(ends, match("_l_")).drop(*(f"_l_{k}" for k in keys))
+                .withColumn("_b", F.explode(_blocks(F.greatest(F.col(low), F.lit(0)), F.least(F.col(high), F.col("_last") + 1), levels)))
+                .select("*", F.col("_b.level").alias("_level"), F.col("_b.number").alias("_number")).drop("_b", "_last"))
+    dealt = (versions.join(ends, match("_l_")).drop(*(f"_l_{k}" for k in keys))
+             .withColumn("_at", F.explode(F.sequence(F.lit(0), levels)))
+             .withColumn("_block", F.call_function("shiftright", F.col(version).cast("bigint"), F.col("_at"))).drop("_last").withColumnsRenamed(named))
+    cond = match("_v_") & (F.col("_level") == F.col("_at")) & (F.col("_number") == F.col("_block"))
+    return cut_rows.join(dealt, cond).drop("_level", "_number", "_at", "_block", *named.values())
+
+
+def changes_at(archive: DataFrame, versions: DataFrame, keys: Sequence[str], children: Sequence[DataFrame] = (), child_key: str | None = None,
+               version: str = "co_sequence", low: str = "from_co_seq", high: str = "to_co_seq") -> DataFrame:
+    """Archive rows with the versions that change them: those at which the row starts, or, if it is open, an open child row.
+
+    ``children`` are archive frames linked to the rows by ``child_key``.  Only starts make a row appear, so versions are found
+    by equality with them; what merely stays in force is never built.
+    """
+    named = {k: f"_v_{k}" for k in keys}
+    at = versions.withColumnsRenamed(named)
+    match = reduce(and_, (F.col(k) == F.col(f"_v_{k}") for k in keys))
+    events = archive.filter(F.col(low) < F.col(high)).withColumn("_at", F.col(low))
+    if children:
+        starts = reduce(DataFrame.unionByName, (c.filter(F.col(high) == OPEN_VERSION).select(F.col(child_key).alias("_child"), F.col(low).alias("_at")) for c in children)).distinct()
+        still_open = archive.filter(F.col(high) == OPEN_VERSION).join(starts, F.col(child_key) == F.col("_child")).filter(
+            (F.col("_at") > F.col(low)) & (F.col("_at") < F.col(high))).drop("_child")
+        events = events.unionByName(still_open)
+    return events.join(at, match & (F.col("_at") == F.col(version))).drop("_at", *named.values())

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions import codes as C, dates as D
 from ledgerloom.functions.params import Params
-from ledgerloom.operators.relational import exists_flag
-from ledgerloom.operators.temporal import OPEN_VERSION, as_of, version_as_of
+from ledgerloom.operators.temporal import as_of, changes_at, version_as_of
 from ledgerloom.operators.windows import fill_previous
 from ledgerloom.session import cut
 from ledgerloom.sources.catalog import Source
@@ -64,40 +63,28 @@ def header_versions(src: Source, p: Params) -> DataFrame:
         "businessunit", "supplier_num", "supplier_name")
 
 
-def changed_in_version(df: DataFrame, low: str, high: str, children: list[tuple[DataFrame, str]]) -> DataFrame:
-    """Keep rows that start at their version, or that are open and have a child row that does.
+def line_versions(src: Source, p: Params, heads: DataFrame | None = None) -> DataFrame:
+    """Order lines changed in each version, with the shipment and distribution in force.
 
-    ``children``: archive frames with the column that links them to ``df``.
+    ``heads`` holds the versions wanted (po_header_id, version_id); without it all that have a header in force.
     """
-    starts = F.col(low) == F.col("co_sequence")
-    opened: dict[str, DataFrame] = {}
-    for child, key in children:
-        rows = child.filter(F.col("to_co_seq") == OPEN_VERSION).select(key, "from_co_seq")
-        opened[key] = opened[key].unionByName(rows) if key in opened else rows
-    moved = F.lit(False)
-    for key, rows in opened.items():
-        df = exists_flag(df, rows, [(key, key), ("co_sequence", "from_co_seq")], f"_by_{key}")
-        moved = moved | F.col(f"_by_{key}")
-    return df.filter(starts | (moved & (F.col(high) == OPEN_VERSION))).drop(*(f"_by_{key}" for key in opened))
-
-
-def line_versions(src: Source, p: Params) -> DataFrame:
-    """Order lines changed in each version, with the shipment and distribution in force."""
     versions = _versions(src)
+    if heads is None:
+        heads = version_as_of(src.scan("po_headers_archive_all", "po_header_id from_co_seq to_co_seq"), versions, ["po_header_id"])
+    versions = versions.join(heads.select("po_header_id", "version_id"), ["po_header_id", "version_id"], "left_semi")
     ships = src.table("po_line_locations_archive_all")
     dists = src.table("po_distributions_archive_all")
-    heads = version_as_of(src.scan("po_headers_archive_all", "po_header_id from_co_seq to_co_seq"), versions, ["po_header_id"])
-    lines = changed_in_version(version_as_of(src.table("po_lines_archive_all"), versions, ["po_header_id"]), "from_co_seq", "to_co_seq",
-                               [(ships, "po_line_id"), (dists, "po_line_id")])
-    ship_now = changed_in_version(version_as_of(ships, versions, ["po_header_id"]), "from_co_seq", "to_co_seq", [(dists, "line_location_id")])
-    dist_now = version_as_of(dists, versions, ["po_header_id"]).withColumnRenamed("deliver_to_person_id", "person_id").join(_names(src, p), "person_id")
+    lines = changes_at(src.table("po_lines_archive_all"), versions, ["po_header_id"], [ships, dists], "po_line_id")
+    ship_now = changes_at(ships, versions, ["po_header_id"], [dists], "line_location_id")
     key = ["po_header_id", "po_line_id", "version_id"]
     codes = src.scan("gl_code_combinations", "code_combination_id segment1:entity segment2:cost_centre segment3:natural_account "
                      "segment4:activity segment5:future")
-    df = (lines.join(ship_now.select(*key, "line_location_id", F.col("assessable_value").alias("po_ordered_amount")), key)
-          .join(dist_now.select(*key, "line_location_id", "code_combination_id", F.col("display_name").alias("requester")),
-                [*key, "line_location_id"])
-          .join(heads.select("po_header_id", "version_id"), ["po_header_id", "version_id"], "left_semi")
+    changed = lines.join(ship_now.select(*key, "line_location_id", F.col("assessable_value").alias("po_ordered_amount")), key)
+    # distributions are looked up for the lines and versions that are left only
+    place = ["po_header_id", "po_line_id", "line_location_id"]
+    dist_now = version_as_of(dists.select(*place, "from_co_seq", "to_co_seq", "code_combination_id", F.col("deliver_to_person_id").alias("person_id")),
+                             changed.select(*place, "version_id", "co_sequence").distinct(), place).join(_names(src, p), "person_id")
+    df = (changed.join(dist_now.select(*key, "line_location_id", "code_combination_id", F.col("display_name").alias("requester")), [*key, "line_location_id"])
           .join(src.scan("po_line_types_vl", "line_type_id line_type"), "line_type_id")
           .join(codes, "code_combination_id").join(src.scan("egp_categories_b", "category_id category_code:categorycode"), "category_id"))
     here = F.col("from_co_seq") == F.col("co_sequence")
@@ -113,8 +100,8 @@ def line_versions(src: Source, p: Params) -> DataFrame:
 
 def order_changes(src: Source, p: Params, lines_per_chunk: int = 10_000) -> DataFrame:
     """Each document version with its changed lines; coding is carried forward to header-only changes."""
-    heads = header_versions(src, p)
-    lines = line_versions(src, p)
+    heads = cut(header_versions(src, p))
+    lines = line_versions(src, p, heads)
     # several branches below read the states and the coding: build each once
     states = cut(heads.join(lines, (F.col("po_header_id") == F.col("l_header")) & (F.col("version_id") == F.col("l_version")), "left"))
     coded = states.select("po_header_id", "version_id", "co_num", "line_num", "line_status", "code_combination_id", *FILLED)

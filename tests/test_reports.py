@@ -122,16 +122,6 @@ def test_latest_contact_details(spark):
     assert rows(address, "address_id") == [(11,), (12,), (13,)] and rows(mail, "email_address") == [("new@h",), ("work@w",)]
 
 
-def test_changed_in_version(spark):
-    open_ = versions.OPEN_VERSION
-    line = "po_line_id int, from_co_seq int, to_co_seq int, co_sequence int"
-    lines = spark.createDataFrame([(1, 0, open_, 0), (1, 0, open_, 1), (1, 0, open_, 2), (2, 0, 2, 1), (3, 1, open_, 1), (4, 0, open_, 1)], line)
-    ships = spark.createDataFrame([(1, 1, open_), (2, 1, open_)], "po_line_id int, from_co_seq int, to_co_seq int")
-    dists = spark.createDataFrame([(1, 2, 3), (4, 1, open_), (4, 1, open_)], "po_line_id int, from_co_seq int, to_co_seq int")
-    got = versions.changed_in_version(lines, "from_co_seq", "to_co_seq", [(ships, "po_line_id"), (dists, "po_line_id")])
-    assert rows(got, "po_line_id", "co_sequence") == [(1, 0), (1, 1), (3, 1), (4, 1)]
-
-
 @pytest.mark.parametrize("header,line,want", [
     (None, None, "Header Amended"), ("Changed", None, "Header Amended"), ("New", None, None), ("Cancelled", None, None), ("New", "New", "Original Document"),
     (None, "New", "Line Created"), ("Changed", "New", "Line Created"), ("Cancelled", "New", None), ("New", "Changed", "Line Amended"), (None, "CANCELLED", "Line Amended")])
