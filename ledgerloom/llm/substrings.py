@@ -9,8 +9,8 @@ its left that windows around the anchor reach.
 3. In a group the suffixes are sorted by their words; neighbours' common lengths give the nodes of the subtrees.  A window that
    starts ``o`` words before the anchor is repeated if another leaf of its node of depth ``length - o`` has the same ``o``
    words to the left.  Words are compared as they are, not by hashes.
-4. A prefix that too many suffixes share is lengthened to all words of the window: its windows are told apart by digests,
-   counted before the shuffle, so that no group grows with the corpus.
+4. A prefix that too many suffixes share is lengthened to all words of the window: its windows are told apart by 128-bit
+   digests, counted before the shuffle, so that no group grows with the corpus.
 """
 
 from __future__ import annotations
@@ -30,7 +30,10 @@ GRAM = 14
 #: Suffixes of a group, about; a prefix that a quarter as many share is lengthened.
 GROUP = 16_000
 
-_WINDOWS = "num long, anchor long, digest binary, start int, at int, n int, content binary"
+#: Repeated windows of a frequent prefix that are held together in one row, about.
+CHUNK = 64
+
+_SUFFIXES = "num long, anchor long, start int, at int, n int, content binary, digests array<binary>"
 
 
 def _window_anchors(hashes: np.ndarray, rows: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,7 +65,7 @@ def _anchors(length: int, gram: int):
 
 
 def _suffixes(length: int, gram: int):
-    """The suffixes at shared anchors, one row each, with the words of their windows; those at frequent anchors window by window."""
+    """The suffixes at shared anchors, one row each, with the words of their windows; those at frequent anchors with a digest per window."""
     def of_text(num: int, known: np.ndarray, often: np.ndarray, hashes: np.ndarray, rows: np.ndarray, words: list[bytes]) -> Iterator[tuple]:
         first, place, grams = _window_anchors(hashes, rows, length, gram)
         mine = grams[place].view(np.int64)
@@ -75,13 +78,14 @@ def _suffixes(length: int, gram: int):
         for i, j in zip(begin.tolist(), [*begin[1:].tolist(), len(place)], strict=True):
             start, n = int(first[i]), j - i
             if hot[i]:
-                for s in range(start, start + n):
-                    yield num, None, hashlib.blake2b(b" ".join(words[s:s + length]), digest_size=16).digest(), s, None, None, None
+                digests = [hashlib.blake2b(b" ".join(words[s:s + length]), digest_size=16).digest() for s in range(start, start + n)]
+                yield num, int(mine[i]), start, None, None, None, digests
             else:
-                yield num, int(mine[i]), None, start, int(place[i]) - start, n, b" ".join(words[start:start + n + length - 1])
+                yield num, int(mine[i]), start, int(place[i]) - start, n, b" ".join(words[start:start + n + length - 1]), None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("num", pa.int64()), ("anchor", pa.int64()), ("digest", pa.binary()), ("start", pa.int32()), ("at", pa.int32()), ("n", pa.int32()), ("content", pa.binary())])
+        schema = pa.schema([("num", pa.int64()), ("anchor", pa.int64()), ("start", pa.int32()), ("at", pa.int32()), ("n", pa.int32()), ("content", pa.binary()),
+                            ("digests", pa.list_(pa.binary()))])
         for batch in batches:
             numbers, shared = batch.column("num").to_pylist(), batch.column("shared")
             for low, high, data, offsets in text_slices(batch.column("text")):
@@ -188,6 +192,23 @@ def _removed(length: int):
     return run
 
 
+def _of_frequent(suffixes: DataFrame) -> DataFrame:
+    """num, runs: the repeated windows at frequent anchors, told apart by digests.
+
+    Digests are counted before the shuffle.  Those that stand in several places go back to the suffixes in rows of about
+    ``CHUNK``, so a suffix meets one row where its anchor has few different repeats, and never more rows than it has windows.
+    """
+    place = F.struct("num", "start", "i")
+    again = cut(suffixes.select("anchor", "num", "start", F.posexplode("digests").alias("i", "digest")).groupBy("anchor", "digest")
+                .agg((F.min(place) != F.max(place)).alias("several")).filter("several").select("anchor", "digest"))
+    buckets = again.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("buckets"))
+    bucket = lambda d: F.pmod(F.xxhash64(d), F.col("buckets"))
+    known = cut(again.join(buckets, "anchor").groupBy("anchor", bucket(F.col("digest")).alias("bucket")).agg(F.collect_list("digest").alias("known")))
+    asked = suffixes.join(buckets, "anchor").withColumn("bucket", F.explode(F.array_distinct(F.transform("digests", bucket))))
+    starts = F.filter(F.transform("digests", lambda d, i: F.when(F.array_contains("known", d), F.col("start") + i)), lambda at: at.isNotNull())
+    return asked.join(known, ["anchor", "bucket"]).select("num", F.transform(starts, lambda at: F.struct(at.alias("first"), (at + 1).alias("last"))).alias("runs"))
+
+
 def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256, removed (ranges of words).
 
@@ -208,14 +229,11 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
               .join(parsed.select("num", "key", "read"), "num").select("num", "key", "read", "shared"))
     # of the copies of a text one is read; the others lose all their words
     found = cut(texts.join(wanted, (texts["key"] == wanted["key"]) & texts["doc_id"].eqNullSafe(wanted["read"])).select("num", "text", "shared")
-                .mapInArrow(_suffixes(length, gram), _WINDOWS))
-    suffixes = found.filter("digest is null").select(F.pmod(F.xxhash64("anchor"), F.lit(groups)).cast("int").alias("group"), "num", "start", "at", "n", "content")
-    trees = arrow_groups(suffixes, ["group"], _trees(length, gram), "num long, first int, last int")
-    whole_prefix = found.filter("digest is not null").select("digest", "num", "start")
-    place = F.struct("num", "start")
-    again = cut(whole_prefix.groupBy("digest").agg((F.min(place) != F.max(place)).alias("several")).filter("several").select("digest"))
-    often = whole_prefix.join(again, "digest").select("num", F.col("start").alias("first"), (F.col("start") + 1).alias("last"))
-    runs = trees.unionByName(often).groupBy("num").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+                .mapInArrow(_suffixes(length, gram), _SUFFIXES))
+    suffixes = found.filter("digests is null").select(F.pmod(F.xxhash64("anchor"), F.lit(groups)).cast("int").alias("group"), "num", "start", "at", "n", "content")
+    trees = arrow_groups(suffixes, ["group"], _trees(length, gram), "num long, first int, last int").select("num", F.array(F.struct("first", "last")).alias("runs"))
+    often = _of_frequent(found.filter("digests is not null").select("num", "anchor", "start", "digests"))
+    runs = trees.unionByName(often).groupBy("num").agg(F.flatten(F.collect_list("runs")).alias("runs"))
     marks = cut(parsed.select("num", "key", (F.col("copies") > 1).alias("whole")).join(runs, "num", "left").filter(F.col("whole") | F.col("runs").isNotNull()).drop("num"))
     return (texts.join(marks, "key", "left").select("doc_id", "text", F.coalesce("whole", F.lit(False)).alias("whole"), "runs")
             .mapInArrow(_removed(length), "doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<struct<start:long,end:long>>"))
