@@ -78,8 +78,9 @@ register("mixed_orders", lambda s: L.mixed_entry_lines(L.invoice_entries(s)).dro
     WITH {bills("'ITEM'", "gross")}, {ENTRIES}
     SELECT ae_header_id, ae_line_num FROM posted GROUP BY ALL HAVING min(po_header_id) <> max(po_header_id)""")
 
-register("report_r16", lambda s: L.ledger_transactions(s, Params(
-    as_at=dt.date(1998, 3, 1), date_from=dt.date(1996, 1, 1), chosen={"entity": ["1", "2"]})), f"""
+
+def _ledger(where: str, since: str, until: str) -> str:
+    return f"""
     WITH {bills("'ITEM'", "gross")}, {STAFF}, {DOCS}, {ENTRIES},
     booked AS (
       SELECT DISTINCT invoice_id, ae_header_id, ae_line_num, gl_sl_link_id,
@@ -118,7 +119,20 @@ register("report_r16", lambda s: L.ledger_transactions(s, Params(
     LEFT JOIN booked i ON i.invoice_id = e.source_id_int_1 AND e.application_id = 200 AND e.entity_code = 'AP_INVOICES'
          AND i.ae_header_id = x.ae_header_id AND i.ae_line_num = a.ae_line_num
     LEFT JOIN docs t ON t.invoice_id = e.source_id_int_1 AND t.appl_id = e.application_id AND t.entity_code = e.entity_code
-    WHERE coalesce(x.accounting_date, h.default_effective_date) BETWEEN date '1996-01-01' AND date '2100-01-01'""", written=("li", "inv"))
+    WHERE coalesce(x.accounting_date, h.default_effective_date) BETWEEN date '{since}' AND date '{until}' AND {where}"""
+
+
+register("report_r16", lambda s: L.ledger_transactions(s, Params(as_at=dt.date(1998, 3, 1), date_from=dt.date(1996, 1, 1), chosen={"entity": ["1", "2"]})),
+         _ledger("acct.segment1 IN ('1', '2')", "1996-01-01", "2100-01-01"), written=("li", "inv"))
+NARROWED = Params(as_at=dt.date(1998, 3, 1), date_from=dt.date(1996, 3, 2), date_to=dt.date(1997, 4, 28), chosen={
+    "period": ["1996-3", "1996-4", "1997-4"], "source": ["Payables", "Unlisted", "Manual"], "status": "P", "costcentre": ["427", "115"],
+    "accountcode": [str(10000 * (1 + k % 4) + k) for k in range(0, 90)], "activity": [f"A{k}" for k in range(9)], "future": "000", "entity": "2"})
+register("report_r16_narrowed", lambda s: L.ledger_transactions(s, NARROWED), _ledger(
+    """h.period_name IN ('1996-3', '1996-4', '1997-4') AND h.je_source IN ('Payables', 'Unlisted', 'Manual') AND l.status = 'P' AND acct.segment2 IN ('427', '115')
+    AND acct.segment3 IN (SELECT cast(10000 * (1 + k % 4) + k AS varchar) FROM range(90) r(k)) AND acct.segment4 IN (SELECT 'A' || k FROM range(9) r(k))
+    AND acct.segment5 = '000' AND acct.segment1 = '2'""", "1996-03-02", "1997-04-28"), written=("li", "inv"))
+
+
 
 # ---- order audit ----
 

@@ -132,6 +132,29 @@ def left_lookup(df: DataFrame, right: DataFrame, on: Sequence[Pair], take: dict[
         *(f"_k{i}" for i in range(len(on))))
 
 
+def frequent_keys(df: DataFrame, keys: Sequence[str], support: float = 0.01) -> list[int]:
+    """Hashes of the keys that hold more than a share ``support`` of the rows, and of some others: 1 / support at most.
+
+    One pass with a bounded sketch per task; rows with a NULL key do not count.
+    """
+    known = df.select(*keys).dropna().select(F.xxhash64(*keys).alias("key"))
+    return known.stat.freqItems(["key"], support).first()[0] or []
+
+
+def left_join_skewed(left: DataFrame, right: DataFrame, keys: Sequence[str], sketch: DataFrame | None = None, spread: int = 64) -> DataFrame:
+    """Left join on columns of the same names, for keys that are often NULL or that a few values dominate.
+
+    Rows with a NULL key match nothing and would all go to one task; they are dealt over ``spread`` salts instead.  So are the
+    rows of the keys that are frequent in ``sketch`` (a cheap frame with about the keys of ``left``), whose right rows are
+    repeated for each salt.
+    """
+    unknown = reduce(Column.__or__, (F.col(k).isNull() for k in keys))
+    hot = F.xxhash64(*keys).isin(frequent_keys(sketch, keys)) if sketch is not None else F.lit(False)
+    salt = F.when(unknown | hot, F.pmod(F.xxhash64(*left.columns), F.lit(spread)).cast("int")).otherwise(0)
+    salts = F.when(hot, F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
+    return left.withColumn("_salt", salt).join(right.withColumn("_salt", F.explode(salts)), [*keys, "_salt"], "left").drop("_salt")
+
+
 def list_values(df: DataFrame, *cols: str | Column, order: Sequence[str | Column] | None = None) -> DataFrame:
     """Distinct values for a parameter list, NULL last."""
     out = df.select(*(cols or df.columns)).distinct()

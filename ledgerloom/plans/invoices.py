@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions import amounts as A, dates as D, text as X
 from ledgerloom.functions.params import Params
+from ledgerloom.operators.relational import left_join_skewed
 from ledgerloom.operators.temporal import as_of
 from ledgerloom.operators.windows import global_row_number, numbered_slots, slot_pivot, top_n
 from ledgerloom.site import DEFAULT_SITE, Site
@@ -131,7 +132,8 @@ def invoice_entry_lines(src: Source, p: Params) -> DataFrame:
     lines = approved_invoice_lines(src, ITEM_AND_MISC, "net").filter(F.col("header_amount") != 0)
     df = _unit_and_supplier(src, lines.withColumn("fy", D.fiscal_year_label(F.col("gl_date"))), "org_id")
     df = p.narrow(df, bus_unit="business_unit", financial_year="fy")
-    df = df.join(distribution_orders(src).drop("po_header_id"), "po_distribution_id", "left")
+    # lines without an order have no distribution
+    df = left_join_skewed(df, distribution_orders(src).drop("po_header_id"), ["po_distribution_id"])
     by, line_by, changed_by = (F.col(c) for c in ("created_by", "line_created_by", "line_last_updated_by"))
     return df.select(
         "invoice_id", "period_name", "invoice_num", "invoice_amount", D.dmy(F.col("invoice_date")).alias("invoice_date"), "created_by",
@@ -235,8 +237,8 @@ def buyer_created_invoices(src: Source, p: Params, site: Site = DEFAULT_SITE) ->
     df = (heads.join(suppliers, "vendor_id")
           .join(remit_emails(src), ["party_id", "party_site_id", "vendor_site_id"])
           .join(supplier_bank_accounts(src), ["vendor_site_id", "invoice_party_id", "external_bank_account_id"])
-          .join(units, "org_id").join(lines.join(dists, ["invoice_id", "line_number"]), "invoice_id")
-          .join(orders, "po_distribution_id", "left"))
+          .join(units, "org_id").join(lines.join(dists, ["invoice_id", "line_number"]), "invoice_id"))
+    df = left_join_skewed(df, orders, ["po_distribution_id"])  # tax lines have no distribution of an order
     tax_number = None
     for unit, number in site.buyer_tax_number.items():
         tax_number = (F if tax_number is None else tax_number).when(F.col("business_unit") == unit, F.lit(number))

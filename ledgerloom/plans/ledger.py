@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions import amounts as A, dates as D, text as X
 from ledgerloom.functions.params import Params, optional_between
-from ledgerloom.operators.relational import left_lookup
+from ledgerloom.operators.relational import left_join_skewed, left_lookup
 from ledgerloom.plans.invoices import approved_invoice_lines
 from ledgerloom.session import cut
 from ledgerloom.sources.catalog import Source
@@ -44,8 +44,19 @@ def person_parties(src: Source) -> DataFrame:
     return parties.join(refs, "party_id").join(people, "orig_system_reference").select("party_id", "party_name", "person_number")
 
 
-def expense_claims(src: Source) -> DataFrame:
-    bills = src.table("ap_invoices_all").filter(F.col("source") == "EMP_EXPENSE_REPORT")
+def _only(df: DataFrame, wanted: DataFrame | None, entity: str, appl_id: int, key: str) -> DataFrame:
+    """The rows whose documents are wanted: ``wanted`` has entity_code, application_id and id, None wants all.
+
+    It stands next to the scan of the table that holds the key, so that all joins of a branch run on what is wanted.
+    """
+    if wanted is None:
+        return df
+    ids = wanted.filter((F.col("entity_code") == entity) & (F.col("application_id") == appl_id)).select(F.col("id").alias("_id"))
+    return df.join(ids, F.col(key) == F.col("_id"), "left_semi")
+
+
+def expense_claims(src: Source, wanted: DataFrame | None = None) -> DataFrame:
+    bills = _only(src.table("ap_invoices_all").filter(F.col("source") == "EMP_EXPENSE_REPORT"), wanted, "AP_INVOICES", PAYABLES, "invoice_id")
     return _document(bills.join(person_parties(src), "party_id"), "AP_INVOICES", PAYABLES, "Expense Claim",
                      invoice_id="invoice_id", invoice_num="invoice_num", payment_status="payment_status_flag",
                      invoice_currency="invoice_currency_code", invoice_amount="invoice_amount", tax_amount="total_tax_amount",
@@ -58,16 +69,18 @@ def _customer_names(src: Source) -> DataFrame:
     return accounts.join(src.scan("hz_parties", "party_id party_name"), "party_id").drop("party_id")
 
 
-def receivable_invoices(src: Source) -> DataFrame:
+def receivable_invoices(src: Source, wanted: DataFrame | None = None) -> DataFrame:
     due = src.scan("ar_payment_schedules_all", "customer_trx_id customer_id:customer amount_due_original tax_original")
-    df = src.table("ra_customer_trx_all").join(due, "customer_trx_id").join(_customer_names(src), "customer")
+    bills = _only(src.table("ra_customer_trx_all"), wanted, "TRANSACTIONS", RECEIVABLES, "customer_trx_id")
+    df = bills.join(due, "customer_trx_id").join(_customer_names(src), "customer")
     return _document(df, "TRANSACTIONS", RECEIVABLES, "AR Invoice", invoice_id="customer_trx_id", invoice_num="trx_number",
                      invoice_currency="invoice_currency_code", invoice_amount="amount_due_original", tax_amount="tax_original",
                      po_vendor_name="party_name", invoice_date="trx_date", created_by="created_by", creation_date="creation_date", hdr="comments")
 
 
-def receipts(src: Source) -> DataFrame:
-    df = src.table("ar_cash_receipts_all").withColumnRenamed("pay_from_customer", "customer").join(_customer_names(src), "customer")
+def receipts(src: Source, wanted: DataFrame | None = None) -> DataFrame:
+    money = _only(src.table("ar_cash_receipts_all"), wanted, "RECEIPTS", RECEIVABLES, "cash_receipt_id")
+    df = money.withColumnRenamed("pay_from_customer", "customer").join(_customer_names(src), "customer")
     return _document(df, "RECEIPTS", RECEIVABLES, "AR Receipts", invoice_id="cash_receipt_id", invoice_num="receipt_number",
                      invoice_currency="currency_code", invoice_amount="amount", tax_amount="tax_amount", po_vendor_name="party_name",
                      invoice_date="receipt_date", created_by="created_by", creation_date="creation_date", hdr="comments")
@@ -78,13 +91,17 @@ def _payment(df: DataFrame, typ: str, number: str) -> DataFrame:
                      creation_date="creation_date", hdr="description", vendor_num=number)
 
 
-def invoice_payments(src: Source) -> DataFrame:
-    checks = src.table("ap_checks_all").withColumnRenamed("vendor_name", "payee")
+def _checks(src: Source, wanted: DataFrame | None) -> DataFrame:
+    return _only(src.table("ap_checks_all"), wanted, "AP_PAYMENTS", PAYABLES, "check_id").withColumnRenamed("vendor_name", "payee")
+
+
+def invoice_payments(src: Source, wanted: DataFrame | None = None) -> DataFrame:
+    checks = _checks(src, wanted)
     return _payment(checks.join(src.scan("poz_suppliers_v", "vendor_id segment1"), "vendor_id"), "Invoice Payments", "segment1")
 
 
-def expense_payments(src: Source) -> DataFrame:
-    checks = src.table("ap_checks_all").withColumnRenamed("vendor_name", "payee")
+def expense_payments(src: Source, wanted: DataFrame | None = None) -> DataFrame:
+    checks = _checks(src, wanted)
     return _payment(checks.join(person_parties(src), "party_id"), "Expense Payments", "person_number")
 
 
@@ -93,16 +110,16 @@ def _asset(df: DataFrame, entity: str, key: str) -> DataFrame:
                      creation_date="creation_date", hdr="description")
 
 
-def depreciation(src: Source) -> DataFrame:
-    return _asset(src.table("fa_additions_vl"), "DEPRECIATION", "asset_id")
+def depreciation(src: Source, wanted: DataFrame | None = None) -> DataFrame:
+    return _asset(_only(src.table("fa_additions_vl"), wanted, "DEPRECIATION", ASSETS, "asset_id"), "DEPRECIATION", "asset_id")
 
 
-def lease_expense(src: Source) -> DataFrame:
-    return _asset(src.table("fa_additions_vl"), "LEASE_EXPENSE", "asset_id")
+def lease_expense(src: Source, wanted: DataFrame | None = None) -> DataFrame:
+    return _asset(_only(src.table("fa_additions_vl"), wanted, "LEASE_EXPENSE", ASSETS, "asset_id"), "LEASE_EXPENSE", "asset_id")
 
 
-def asset_transactions(src: Source) -> DataFrame:
-    moves = src.scan("fa_transaction_headers", "transaction_header_id asset_id")
+def asset_transactions(src: Source, wanted: DataFrame | None = None) -> DataFrame:
+    moves = _only(src.scan("fa_transaction_headers", "transaction_header_id asset_id"), wanted, "TRANSACTIONS", ASSETS, "transaction_header_id")
     return _asset(src.table("fa_additions_vl").join(moves, "asset_id"), "TRANSACTIONS", "transaction_header_id")
 
 
@@ -117,40 +134,51 @@ def _goods_receipts(src: Source, events: DataFrame) -> DataFrame:
                      po_number="segment1", po_vendor_name="vendor_name", created_by="created_by", creation_date="creation_date", hdr="comments")
 
 
-def receipts_of_goods(src: Source) -> DataFrame:
-    events = src.table("cmr_rcv_events").filter(F.col("event_txn_table_name") == "CMR_TRANSACTIONS")
+def _receipt_events(src: Source, wanted: DataFrame | None, kind: str) -> DataFrame:
+    """Events name the kind of their document themselves."""
+    events = src.table("cmr_rcv_events").filter(F.col("event_txn_table_name") == kind)
+    if wanted is None:
+        return events
+    ids = wanted.filter(F.col("application_id") == RECEIVING).select("entity_code", F.col("id").alias("accounting_event_id"))
+    return events.join(ids, ["entity_code", "accounting_event_id"], "left_semi")
+
+
+def receipts_of_goods(src: Source, wanted: DataFrame | None = None) -> DataFrame:
+    events = _receipt_events(src, wanted, "CMR_TRANSACTIONS")
     moves = src.scan("cmr_transactions", "transaction_id receipt_number rcv_transaction_id")
     return _goods_receipts(src, events.join(moves, "transaction_id").select(
         "entity_code", "accounting_event_id", "receipt_number", "rcv_transaction_id"))
 
 
-def receipts_of_invoiced_goods(src: Source) -> DataFrame:
-    events = (src.table("cmr_rcv_events").filter(F.col("event_txn_table_name") == "CMR_AP_INVOICE_DTLS")
-              .withColumnRenamed("event_transaction_id", "cmr_ap_invoice_dist_id"))
+def receipts_of_invoiced_goods(src: Source, wanted: DataFrame | None = None) -> DataFrame:
+    events = _receipt_events(src, wanted, "CMR_AP_INVOICE_DTLS").withColumnRenamed("event_transaction_id", "cmr_ap_invoice_dist_id")
     details = src.scan("cmr_ap_invoice_dtls", "cmr_ap_invoice_dist_id cmr_rcv_transaction_id")
     moves = src.scan("cmr_transactions", "cmr_rcv_transaction_id receipt_number rcv_transaction_id")
     return _goods_receipts(src, events.join(details, "cmr_ap_invoice_dist_id").join(moves, "cmr_rcv_transaction_id").select(
         "entity_code", "accounting_event_id", "receipt_number", "rcv_transaction_id"))
 
 
-def cash_transactions(src: Source) -> DataFrame:
-    df = src.table("ce_external_transactions").withColumn("number", F.col("transaction_id").cast("string"))
+def cash_transactions(src: Source, wanted: DataFrame | None = None) -> DataFrame:
+    df = _only(src.table("ce_external_transactions"), wanted, "CE_EXTERNAL", CASH, "transaction_id").withColumn("number", F.col("transaction_id").cast("string"))
     return _document(df, "CE_EXTERNAL", CASH, "CE", invoice_id="transaction_id", invoice_num="number", created_by="created_by",
                      creation_date="creation_date")
 
 
-BRANCHES: tuple[Callable[[Source], DataFrame], ...] = (
+BRANCHES: tuple[Callable[[Source, DataFrame | None], DataFrame], ...] = (
     expense_claims, receivable_invoices, receipts, invoice_payments, expense_payments, depreciation, lease_expense,
     asset_transactions, receipts_of_goods, receipts_of_invoiced_goods, cash_transactions)
 
 
-def subledger_documents(src: Source) -> DataFrame:
-    """All branches in one shape."""
-    return reduce(DataFrame.unionByName, (branch(src) for branch in BRANCHES))
+def subledger_documents(src: Source, wanted: DataFrame | None = None) -> DataFrame:
+    """All branches in one shape; of each only the documents ``wanted`` (entity_code, application_id, id)."""
+    return reduce(DataFrame.unionByName, (branch(src, wanted) for branch in BRANCHES))
+
 
+def invoice_entries(src: Source, wanted: DataFrame | None = None) -> DataFrame:
+    """Approved item lines of orders with the entry line each distribution was posted to.
 
-def invoice_entries(src: Source) -> DataFrame:
-    """Approved item lines of orders with the entry line each distribution was posted to."""
+    ``wanted`` names entry lines (ae_header_id, ae_line_num); of these all distributions are kept.
+    """
     lines = approved_invoice_lines(src).withColumnRenamed("po_line_id", "line_po_line_id")
     dists = src.scan("po_distributions_all", "po_distribution_id po_line_id")
     po_lines = src.scan("po_lines_all", "po_line_id po_header_id")
@@ -160,9 +188,12 @@ def invoice_entries(src: Source) -> DataFrame:
     entries = (src.scan("xla_ae_lines", "ae_header_id ae_line_num gl_sl_link_id:entry_link entered_dr entered_cr accounting_class_code")
                .filter(F.col("accounting_class_code") == "ITEM EXPENSE"))
     heads = src.scan("xla_ae_headers", "ae_header_id")
-    return (lines.join(dists, "po_distribution_id").filter(F.col("po_line_id") == F.col("line_po_line_id")).join(po_lines, "po_line_id")
-            .join(links, ["invoice_id", "invoice_distribution_id"]).join(entries, ["ae_header_id", "ae_line_num"])
-            .join(heads, "ae_header_id"))
+    if wanted is not None:
+        line = ["ae_header_id", "ae_line_num"]
+        links, entries = links.join(wanted, line, "left_semi"), entries.join(wanted, line, "left_semi")
+    # from the entry side, which the reduction makes small
+    return (links.join(entries, ["ae_header_id", "ae_line_num"]).join(heads, "ae_header_id").join(lines, ["invoice_id", "invoice_distribution_id"])
+            .join(dists, "po_distribution_id").filter(F.col("po_line_id") == F.col("line_po_line_id")).join(po_lines, "po_line_id"))
 
 
 def mixed_entry_lines(entries: DataFrame) -> DataFrame:
@@ -171,9 +202,9 @@ def mixed_entry_lines(entries: DataFrame) -> DataFrame:
             .filter(F.col("orders") > 1).select("ae_header_id", "ae_line_num", F.lit(True).alias("mixed")))
 
 
-def order_invoice_amounts(src: Source) -> DataFrame:
-    """Invoice documents by entry line: a line that mixes orders is split by distribution."""
-    entries = cut(invoice_entries(src).select(
+def order_invoice_amounts(src: Source, wanted: DataFrame | None = None) -> DataFrame:
+    """Invoice documents by entry line (of those ``wanted``): a line that mixes orders is split by distribution."""
+    entries = cut(invoice_entries(src, wanted).select(
         "invoice_id", "ae_header_id", "ae_line_num", "po_header_id", "vendor_id", "entry_link", "unrounded_entered_dr", "unrounded_entered_cr",
         "entered_dr", "entered_cr", "created_by", "invoice_desc"))
     orders = src.scan("po_headers_all", "po_header_id segment1:po_number")
@@ -202,7 +233,11 @@ def account_descriptions(df: DataFrame, values: DataFrame, segments: list[str],
     return df.withColumn(name, F.concat_ws(".", *(f"_{s}" for s in segments))).drop(*(f"_{s}" for s in segments))
 
 
+PARAMETERS = ("period", "source", "status", "costcentre", "accountcode", "activity", "future", "entity")
+
+
 def ledger_transactions(src: Source, p: Params) -> DataFrame:
+    """Journal lines with their sub-ledger documents.  A choice narrows the journals first, then what is read of the documents."""
     heads = src.scan("gl_je_headers", "je_header_id name:journal_name posting_acct_seq_value:accounting_sequence_number period_name "
                      "je_batch_id je_category:je_category_name je_source:je_source_name default_effective_date")
     heads = p.narrow(heads, period="period_name", source="je_source_name")
@@ -219,20 +254,32 @@ def ledger_transactions(src: Source, p: Params) -> DataFrame:
     entry_heads = src.scan("xla_ae_headers", "ae_header_id accounting_date doc_category_code:code doc_sequence_value entity_id")
     entities = src.scan("xla_transaction_entities", "entity_id source_id_int_1 application_id entity_code transaction_number")
     batches = src.scan("gl_je_batches", "je_batch_id name:batch_name posted_date")
-    posted = (
+    posted = cut(
         lines.join(codes, "code_combination_id").join(heads, "je_header_id")
         .join(src.scan("gl_je_categories", "je_category_name user_je_category_name"), "je_category_name")
         .join(src.scan("gl_je_sources_b", "je_source_name je_source_key"), "je_source_name", "left")
         .join(batches, "je_batch_id", "left").join(refs, ["je_header_id", "je_line_num"], "left")
         .withColumns({"link": F.coalesce("line_link", "ref_link"), "link_table": F.coalesce("line_link_table", "ref_link_table")}))
+    narrowed = p.date_from or p.date_to or any(p.get(name) is not None for name in PARAMETERS)
+    entries = entries.withColumns({"link": F.col("entry_link"), "link_table": F.col("entry_link_table")})
+    if narrowed:
+        entries = entries.join(posted.select("link", "link_table"), ["link", "link_table"], "left_semi")
+    # the entry side is joined on its own, so a journal without a link passes one join instead of four
+    entry_side = (entries.join(entry_heads, "ae_header_id", "left").join(entities, "entity_id", "left")
+                  .join(src.scan("fnd_doc_sequence_categories", "code description:document_text"), "code", "left"))
     traced = (
-        posted.join(entries, (F.col("link") == F.col("entry_link")) & (F.col("link_table") == F.col("entry_link_table")), "left")
-        .join(entry_heads, "ae_header_id", "left").join(entities, "entity_id", "left")
-        .join(src.scan("fnd_doc_sequence_categories", "code description:document_text"), "code", "left")
+        left_join_skewed(posted, entry_side, ["link", "link_table"], posted)
         .withColumn("gl_day", F.coalesce("accounting_date", "default_effective_date"))
         .filter(optional_between(F.col("gl_day"), p.date_from, p.date_to)))
-    inv = order_invoice_amounts(src)
-    docs = subledger_documents(src).select(
+    documents = entry_lines = None
+    if narrowed:
+        # what the chosen journals refer to decides what is read of the documents
+        traced = cut(traced)
+        documents = cut(traced.select("entity_code", "application_id", F.col("source_id_int_1").alias("id")).dropna().distinct())
+        entry_lines = cut(traced.filter((F.col("application_id") == PAYABLES) & (F.col("entity_code") == "AP_INVOICES"))
+                          .select("ae_header_id", "ae_line_num").dropna().distinct())
+    inv = order_invoice_amounts(src, entry_lines)
+    docs = subledger_documents(src, documents).select(
         F.col("invoice_id").alias("txn_id"), F.col("appl_id").alias("txn_appl"), F.col("entity_code").alias("txn_entity"),
         F.col("typ").alias("txn_typ"), F.col("created_by").alias("txn_by"), F.col("hdr").alias("txn_hdr"),
         F.col("po_vendor_name").alias("txn_vendor"), F.col("vendor_num").alias("txn_vendor_num"))

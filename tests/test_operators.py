@@ -110,6 +110,35 @@ def test_document_of_many_lines_and_versions(spark):
 
 # ---- joins ----
 
+
+def shares(df):
+    """Rows per partition, the largest first, of a plan whose shuffles stay as they are."""
+    return sorted((r[1] for r in df.groupBy(F.spark_partition_id()).count().collect()), reverse=True)
+
+
+def test_skewed_left_join(spark):
+    """90 of 100 rows without a link, and one link that holds most of the others."""
+    left = spark.range(20_000).select(
+        F.col("id"), F.when(F.col("id") % 10 == 0, F.when(F.col("id") % 40 == 0, F.col("id") % 700).otherwise(7)).alias("link"), F.lit("t").alias("link_table"))
+    right = spark.range(700).select(F.col("id").alias("link"), F.lit("t").alias("link_table"), (F.col("id") * 2).alias("v")).union(
+        spark.createDataFrame([(7, "t", -1), (None, "t", -2), (7, None, -3)], "link long, link_table string, v long"))
+    want = rows(left.join(right, ["link", "link_table"], "left"), "id", "link", "v")
+    assert R.frequent_keys(left, ["link", "link_table"]) and len(R.frequent_keys(left, ["link", "link_table"], 0.1)) <= 10
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for sketch in (None, left):
+            got = R.left_join_skewed(left, right, ["link", "link_table"], sketch)
+            assert rows(got, "id", "link", "v") == want and got.columns == left.join(right, ["link", "link_table"], "left").columns
+            if sketch is not None:
+                assert shares(got)[0] < 0.3 * len(want)
+        assert shares(left.join(right, ["link", "link_table"], "left"))[0] > 0.8 * len(want)
+        assert R.left_join_skewed(left.limit(0), right, ["link"], left.limit(0)).count() == 0
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
 ALTERNATIVES = [[("a1", "b1"), ("a2", "b2")], [("a3", "b1")], [("a4", "b3"), ("a2", "b4")]]
 
 

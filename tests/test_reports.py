@@ -1,14 +1,15 @@
 """Hand-made rows through report steps, expected rows written by hand."""
 
 import datetime as dt
+import functools
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions.params import Params
 from ledgerloom.plans import contracts, invoices, ledger, people, recruitment, versions
-from ledgerloom.sources.catalog import FrameSource
+from ledgerloom.sources.catalog import FrameSource, StandInSource
 from tests.conftest import rows
 
 D = dt.date
@@ -137,6 +138,24 @@ def test_statuses_of_versions(spark):
     assert [r[0] for r in df.select(versions.line_status(*args)).collect()] == ["Changed", "New", "Changed", "Changed", None]
 
 
+def test_branches_read_wanted_documents_only(spark, small):
+    """Every branch meets the wanted keys next to its scan, and gives the rows that it gives for them without."""
+    src = StandInSource(spark, small)
+    every = {b.__name__: b(src) for b in ledger.BRANCHES}
+    ids = [d.select("entity_code", F.col("appl_id").alias("application_id"), F.col("invoice_id").alias("id")).filter(F.col("invoice_id") % 7 == 0) for d in every.values()]
+    wanted = functools.reduce(DataFrame.unionByName, ids).distinct().cache()
+    for branch in ledger.BRANCHES:
+        got = branch(src, wanted)
+        want = every[branch.__name__].filter(F.col("invoice_id") % 7 == 0)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        # the reduction is below every other join of the branch
+        depth = [len(line) - len(line.lstrip(" :+-")) for line in plan.splitlines() if "Join LeftSemi" in line]
+        others = [len(line) - len(line.lstrip(" :+-")) for line in plan.splitlines() if "Join Inner" in line]
+        assert depth and all(max(depth) > o for o in others[:1])
+    wanted.unpersist()
+
+
 def test_mixed_entry_lines(spark):
     entries = spark.createDataFrame([(1, 1, 10), (1, 1, 10), (1, 2, 10), (1, 2, 11)], "ae_header_id int, ae_line_num int, po_header_id int")
     assert rows(ledger.mixed_entry_lines(entries)) == [(1, 2, True)]
