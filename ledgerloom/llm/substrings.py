@@ -32,8 +32,11 @@ GROUP = 16_000
 
 #: Repeated windows of a frequent prefix that are held together in one row, about.
 CHUNK = 64
+#: Suffixes at frequent prefixes that follow each other and are looked up together, about.
+STRETCH = 4
 
-_SUFFIXES = "num long, anchor long, start int, at int, n int, content binary, digests array<binary>"
+_FREQUENT = "array<struct<anchor:bigint,start:int,digests:array<binary>>>"
+_SUFFIXES = f"num long, anchor long, start int, at int, n int, content binary, stretch binary, frequent {_FREQUENT}"
 
 
 def _window_anchors(hashes: np.ndarray, rows: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,7 +68,8 @@ def _anchors(length: int, gram: int):
 
 
 def _suffixes(length: int, gram: int):
-    """The suffixes at shared anchors, one row each, with the words of their windows; those at frequent anchors with a digest per window."""
+    """The suffixes at shared anchors, one row each, with the words of their windows; of those at frequent anchors a few that follow each
+    other make a row, with a digest of all and one per window."""
     def of_text(num: int, known: np.ndarray, often: np.ndarray, hashes: np.ndarray, rows: np.ndarray, words: list[bytes]) -> Iterator[tuple]:
         first, place, grams = _window_anchors(hashes, rows, length, gram)
         mine = grams[place].view(np.int64)
@@ -75,17 +79,28 @@ def _suffixes(length: int, gram: int):
             return
         first, place, mine, hot = first[held], place[held], mine[held], often[slot[held]]
         begin = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        stretch: list[dict] = []
         for i, j in zip(begin.tolist(), [*begin[1:].tolist(), len(place)], strict=True):
-            start, n = int(first[i]), j - i
+            start, n, anchor = int(first[i]), j - i, int(mine[i])
+            if stretch and (not hot[i] or start != stretch[-1]["start"] + len(stretch[-1]["digests"]) or anchor % STRETCH == 0):
+                yield frequent(num, stretch, words)
+                stretch = []
             if hot[i]:
                 digests = [hashlib.blake2b(b" ".join(words[s:s + length]), digest_size=16).digest() for s in range(start, start + n)]
-                yield num, int(mine[i]), start, None, None, None, digests
+                stretch.append({"anchor": anchor, "start": start, "digests": digests})
             else:
-                yield num, int(mine[i]), start, int(place[i]) - start, n, b" ".join(words[start:start + n + length - 1]), None
+                yield num, anchor, start, int(place[i]) - start, n, b" ".join(words[start:start + n + length - 1]), None, None
+        if stretch:
+            yield frequent(num, stretch, words)
+
+    def frequent(num: int, stretch: list[dict], words: list[bytes]) -> tuple:
+        low, last = stretch[0]["start"], stretch[-1]
+        whole = b" ".join(words[low:last["start"] + len(last["digests"]) + length - 1])
+        return num, None, low, None, last["start"] + len(last["digests"]) - low, None, hashlib.blake2b(whole, digest_size=16).digest(), stretch
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("num", pa.int64()), ("anchor", pa.int64()), ("start", pa.int32()), ("at", pa.int32()), ("n", pa.int32()), ("content", pa.binary()),
-                            ("digests", pa.list_(pa.binary()))])
+                            ("stretch", pa.binary()), ("frequent", pa.list_(pa.struct([("anchor", pa.int64()), ("start", pa.int32()), ("digests", pa.list_(pa.binary()))])))])
         for batch in batches:
             numbers, shared = batch.column("num").to_pylist(), batch.column("shared")
             for low, high, data, offsets in text_slices(batch.column("text")):
@@ -192,21 +207,27 @@ def _removed(length: int):
     return run
 
 
-def _of_frequent(suffixes: DataFrame) -> DataFrame:
+def _of_frequent(stretches: DataFrame) -> DataFrame:
     """num, runs: the repeated windows at frequent anchors, told apart by digests.
 
-    Digests are counted before the shuffle.  Those that stand in several places go back to the suffixes in rows of about
-    ``CHUNK``, so a suffix meets one row where its anchor has few different repeats, and never more rows than it has windows.
+    A stretch that stands in several places is repeated as a whole.  Of the others each window is looked up: digests are
+    counted over the different stretches, and those that stand in several places go back in rows of about ``CHUNK``, so a
+    suffix meets one row where its anchor has few different repeats, and never more rows than it has windows.
     """
-    place = F.struct("num", "start", "i")
-    again = cut(suffixes.select("anchor", "num", "start", F.posexplode("digests").alias("i", "digest")).groupBy("anchor", "digest")
-                .agg((F.min(place) != F.max(place)).alias("several")).filter("several").select("anchor", "digest"))
+    place = F.struct("num", "start")
+    different = cut(stretches.groupBy("stretch").agg(F.first("frequent").alias("frequent"), F.min(place).alias("place"), (F.min(place) != F.max(place)).alias("several")))
+    windows = different.select("several", F.explode("frequent").alias("s")).select("several", "s.anchor", F.explode("s.digests").alias("digest"))
+    again = cut(windows.groupBy("anchor", "digest").agg((F.max("several") | (F.count(F.lit(1)) > 1)).alias("found")).filter("found").select("anchor", "digest"))
     buckets = again.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("buckets"))
     bucket = lambda d: F.pmod(F.xxhash64(d), F.col("buckets"))
     known = cut(again.join(buckets, "anchor").groupBy("anchor", bucket(F.col("digest")).alias("bucket")).agg(F.collect_list("digest").alias("known")))
-    asked = suffixes.join(buckets, "anchor").withColumn("bucket", F.explode(F.array_distinct(F.transform("digests", bucket))))
+    asked = (different.filter("not several").select("place.num", F.explode("frequent").alias("s")).select("num", "s.*").join(buckets, "anchor")
+             .withColumn("bucket", F.explode(F.array_distinct(F.transform("digests", bucket)))))
     starts = F.filter(F.transform("digests", lambda d, i: F.when(F.array_contains("known", d), F.col("start") + i)), lambda at: at.isNotNull())
-    return asked.join(known, ["anchor", "bucket"]).select("num", F.transform(starts, lambda at: F.struct(at.alias("first"), (at + 1).alias("last"))).alias("runs"))
+    single = asked.join(known, ["anchor", "bucket"]).select("num", F.transform(starts, lambda at: F.struct(at.alias("first"), (at + 1).alias("last"))).alias("runs"))
+    whole = stretches.join(different.filter("several").select("stretch"), "stretch").select(
+        "num", F.array(F.struct(F.col("start").alias("first"), (F.col("start") + F.col("n")).alias("last"))).alias("runs"))
+    return whole.unionByName(single)
 
 
 def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
@@ -230,9 +251,9 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # of the copies of a text one is read; the others lose all their words
     found = cut(texts.join(wanted, (texts["key"] == wanted["key"]) & texts["doc_id"].eqNullSafe(wanted["read"])).select("num", "text", "shared")
                 .mapInArrow(_suffixes(length, gram), _SUFFIXES))
-    suffixes = found.filter("digests is null").select(F.pmod(F.xxhash64("anchor"), F.lit(groups)).cast("int").alias("group"), "num", "start", "at", "n", "content")
+    suffixes = found.filter("stretch is null").select(F.pmod(F.xxhash64("anchor"), F.lit(groups)).cast("int").alias("group"), "num", "start", "at", "n", "content")
     trees = arrow_groups(suffixes, ["group"], _trees(length, gram), "num long, first int, last int").select("num", F.array(F.struct("first", "last")).alias("runs"))
-    often = _of_frequent(found.filter("digests is not null").select("num", "anchor", "start", "digests"))
+    often = _of_frequent(found.filter("stretch is not null").select("num", "start", "n", "stretch", "frequent"))
     runs = trees.unionByName(often).groupBy("num").agg(F.flatten(F.collect_list("runs")).alias("runs"))
     marks = cut(parsed.select("num", "key", (F.col("copies") > 1).alias("whole")).join(runs, "num", "left").filter(F.col("whole") | F.col("runs").isNotNull()).drop("num"))
     return (texts.join(marks, "key", "left").select("doc_id", "text", F.coalesce("whole", F.lit(False)).alias("whole"), "runs")
