@@ -25,3 +25,9 @@ def register(name: str, run: Callable[[Source], DataFrame], oracle: str | None =
     QUERIES[name] = call
     if oracle is not None:
         ORACLES[name] = as_cte(oracle)
+
+
+def narrowed(name: str, of: str, run: Callable[[Source], DataFrame], where: str, written: tuple[str, ...] = ()) -> None:
+    """A second run of the report ``of`` with more parameters; its oracle filters that report's rows (its stand-ins are in it already)."""
+    register(name, run, None, written)
+    ORACLES[name] = f"SELECT * FROM ({ORACLES[of]}) WHERE {where}"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from ledgerloom.checks.registry import register
+from ledgerloom.checks.registry import narrowed, register
 from ledgerloom.functions.params import Params
 from ledgerloom.plans import invoices as I, orders as O
 
@@ -233,6 +233,17 @@ register("report_r23", lambda s: O.orders_with_contracts(s, Params(
     FROM buy JOIN asker USING (deliver_to_person_id) LEFT JOIN last USING (po_distribution_id) LEFT JOIN pair USING (po_line_id)
     WHERE po_value = 'True' AND unit IN ('Crown', 'Departmental', 'EUROPE') AND creation_date BETWEEN date '1900-01-01' AND date '2000-01-31'""")
 
+narrowed("report_r10_narrowed", "report_r10", lambda s: O.contractor_orders(s, Params(
+    as_at=AT, date_from=dt.date(1996, 6, 1), date_to=dt.date(1998, 2, 28), chosen={
+        "inv_date_to": dt.date(2000, 12, 31), "business_unit": ["Crown", "EUROPE"], "categorycode": ["AOG - Contractors", "AOG_-_Consultancy"], "po_status": ["OPEN", "CLOSED"]})),
+    """businessunit IN ('Crown', 'EUROPE') AND category_code IN ('AOG - Contractors', 'AOG_-_Consultancy') AND lower(postatus) IN ('open', 'closed')
+       AND strptime(po_creation_date, '%d-%m-%Y') BETWEEN date '1996-06-01' AND date '1998-02-28'""")
+narrowed("report_r12_narrowed", "report_r12", lambda s: O.order_detail(s, Params(as_at=AT, chosen={"po_line_num": [1, 3]})), "po_line_number IN (1, 3)")
+narrowed("report_r23_narrowed", "report_r23", lambda s: O.orders_with_contracts(s, Params(
+    as_at=AT, date_from=dt.date(1995, 1, 1), date_to=dt.date(1999, 12, 31), chosen={
+        "po_value": "True", "business_unit": ["Crown", "Departmental", "EUROPE"], "documentstatus": ["OPEN"], "period_name": ["March-96", "April-96", "May-97"]})),
+    "document_status = 'Open' AND po_start_period IN ('MARCH-96', 'APRIL-96', 'MAY-97')")
+
 register("report_r17", lambda s: O.invoices_by_order(s, Params(as_at=AT, chosen={"costcentre": ["427", "115", "901"]})), f"""
     WITH {bills("'ITEM'", "gross")}, {buys('ORG_ACTIVITY')}
     SELECT po AS purchase_order_number, po_header_id, line_num AS po_line_number, category_code AS categorycode,

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from ledgerloom.checks.registry import register
+from ledgerloom.checks.registry import narrowed, register
 from ledgerloom.checks.reports_finance import PLAIN, bills, d, sentence
 from ledgerloom.functions.codes import COST_CENTRE_GROUPS
 from ledgerloom.functions.params import Params
@@ -201,6 +201,11 @@ register("report_r08", lambda s: V.order_changes(s, PLAIN), f"""
     LEFT JOIN (FROM filled WHERE line_status IS NULL) c ON (c.po_header_id, c.version_id, c.co_num) = (h.po_header_id, h.version_id, h.co_num)
     LEFT JOIN who n ON n.person_id = h.originator_id""", written=("li", "po_versions"))
 
+narrowed("report_r08_narrowed", "report_r08", lambda s: V.order_changes(s, Params(as_at=PLAIN.as_at, chosen={
+    "business_unit": ["Crown", "EUROPE"], "suppliernum": [f"S{k}" for k in range(60)], "costcentre": ["427", "115"], "category_code": [1, 2, 3, 5]})),
+    """businessunit IN ('Crown', 'EUROPE') AND supplier_num IN (SELECT 'S' || k FROM range(60) r(k)) AND cost_centre IN ('427', '115')
+       AND category_id IN (1, 2, 3, 5)""", written=("li", "po_versions"))
+
 # ---- alert ----
 
 NOW = Params(as_at=dt.datetime(2024, 1, 30, 17))

@@ -18,8 +18,33 @@ def _matches(pairs: Sequence[Pair]) -> Column:
     return out
 
 
+#: Words of 64 bits in the sieve of ``or_equi_join``: a quarter of a megabyte, whatever the tables hold.
+SIEVE_WORDS = 1 << 15
+
+
+def _place(h: Column) -> tuple[Column, Column]:
+    return F.pmod(h, F.lit(SIEVE_WORDS)).cast("int"), F.pmod(F.shiftright(h, 32), F.lit(64)).cast("int")
+
+
+def key_sieve(hashes: DataFrame) -> Column:
+    """Which hashes (column ``h``) occur, as one value of fixed size: an array of bits that a plan computes once.
+
+    Filled by pre-aggregation; ``may_hold`` tests it.  With very many hashes it lets all pass.
+    """
+    word, bit = _place(F.col("h"))
+    filled = hashes.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("bits"))
+    every = hashes.sparkSession.range(SIEVE_WORDS).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("bigint").alias("bits"))
+    merged = filled.unionByName(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    return merged.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"])).scalar()
+
+
+def may_hold(sieve: Column, h: Column) -> Column:
+    word, bit = _place(h)
+    return F.getbit(F.get(sieve, word), bit) == 1
+
+
 def or_equi_join(left: DataFrame, right: DataFrame, alternatives: Sequence[Sequence[Pair]],
-                 left_key: Sequence[str], how: str = "left", probes: DataFrame | None = None) -> DataFrame:
+                 left_key: Sequence[str], how: str = "left", probes: DataFrame | None = None, sift: bool = False) -> DataFrame:
     """Join on "any of these equalities" as one equi-join instead of a nested loop.
 
     ``alternatives`` lists the conditions, each a set of (left column, right column) pairs; the
@@ -30,7 +55,8 @@ def or_equi_join(left: DataFrame, right: DataFrame, alternatives: Sequence[Seque
 
     Only ``left_key`` and the compared columns of the left side take part in the search.  They are
     read from ``probes`` if given, a cheaper frame with one row per key that covers the keys of ``left``.
-    ``how``: inner, left, left_semi, left_anti.
+    ``sift``: search rows whose key no right row has are dropped before they are made (``key_sieve``), for a large left side
+    of which few rows match.  ``how``: inner, left, left_semi, left_anti.
     """
     compared = list(dict.fromkeys([*left_key, *(a for pairs in alternatives for a, _ in pairs)]))
     semi = how in ("left_semi", "left_anti")
@@ -53,14 +79,22 @@ def or_equi_join(left: DataFrame, right: DataFrame, alternatives: Sequence[Seque
     def matches(pairs: Sequence[Pair]) -> Column:
         return reduce(Column.__and__, (typed(pair, 0) == typed(pair, 1) for pair in pairs))
 
-    def searches(df: DataFrame, side: int, tag: str) -> DataFrame:
-        keys = [F.struct(F.lit(i).alias("alt"), F.concat(*(
-            part for pair in pairs for part in (as_key(pair, side), F.lit("\x1f")))).alias("key"))
-            for i, pairs in enumerate(alternatives)]
-        rows = df.select("*", F.explode(F.filter(F.array(*keys), lambda k: k["key"].isNotNull())).alias("_s"))
+    def search_keys(side: int) -> list[Column]:
+        return [F.concat(*(part for pair in pairs for part in (as_key(pair, side), F.lit("\x1f")))) for pairs in alternatives]
+
+    def searches(df: DataFrame, side: int, tag: str, sieve: Column | None = None) -> DataFrame:
+        # lists of none or one, as a subquery may not stand below a higher-order function
+        keys = [F.when(key.isNotNull() if sieve is None else key.isNotNull() & may_hold(sieve, F.xxhash64(F.lit(i), key)),
+                       F.array(F.struct(F.lit(i).alias("alt"), key.alias("key")))).otherwise(F.array())
+                for i, key in enumerate(search_keys(side))]
+        rows = df.select("*", F.explode(F.flatten(F.array(*keys))).alias("_s"))
         return rows.select("*", F.col("_s.alt").alias(f"_{tag}_alt"), F.col("_s.key").alias(f"_{tag}_key")).drop("_s")
 
-    hit = searches(asked, 0, "l").join(
+    sieve = None
+    if sift:
+        known = [F.when(key.isNotNull(), F.xxhash64(F.lit(i), key)) for i, key in enumerate(search_keys(1))]
+        sieve = key_sieve(target.select(F.explode(F.array_compact(F.array(*known))).alias("h")))
+    hit = searches(asked, 0, "l", sieve).join(
         searches(target, 1, "r"), (F.col("_l_alt") == F.col("_r_alt")) & (F.col("_l_key") == F.col("_r_key")))
     first = None
     for i, pairs in enumerate(alternatives):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerloom.functions.params import Params, optional_between
 from ledgerloom.operators.relational import or_equi_join
 from ledgerloom.sources.catalog import Source
 
@@ -54,13 +55,20 @@ def contract_lines(src: Source, either_id: bool = True) -> DataFrame:
                     F.coalesce("line_amount", "agreed_amount").alias("contract_line_amount"), "purchasing_category_id"))
 
 
-def order_line_links(src: Source) -> DataFrame:
-    """Of each order line, what may link it to a contract."""
-    heads = src.scan("po_headers_all", "po_header_id segment1:purchase_order_number")
+def order_line_links(src: Source, p: Params | None = None, created: bool = False, **columns: str) -> DataFrame:
+    """Of each order line, what may link it to a contract.
+
+    ``columns``: parameters that narrow a report by a column of the order's header; ``created``: so do the report's dates.
+    """
+    heads = src.scan("po_headers_all", "po_header_id segment1 document_status creation_date")
+    if p is not None:
+        heads = p.narrow(heads, **columns)
+    if created:
+        heads = heads.filter(optional_between(F.col("creation_date"), p.date_from, p.date_to))
     lines = src.scan("po_lines_all", "po_header_id po_line_id line_num:po_line_number contract_id from_header_id from_line_id")
-    return lines.join(heads, "po_header_id")
+    return lines.join(heads.select("po_header_id", F.col("segment1").alias("purchase_order_number")), "po_header_id")
 
 
 def match_contracts(orders: DataFrame, contracts: DataFrame, how: str = "left", probes: DataFrame | None = None) -> DataFrame:
     """Order lines (by ``po_line_id``) with the contracts they draw on."""
-    return or_equi_join(orders, contracts, CONTRACT_LINKS, ["po_line_id"], how, probes)
+    return or_equi_join(orders, contracts, CONTRACT_LINKS, ["po_line_id"], how, probes, sift=True)

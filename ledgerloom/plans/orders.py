@@ -94,7 +94,7 @@ def contractor_orders(src: Source, p: Params) -> DataFrame:
     orders = p.narrow(orders, business_unit="business_unit", categorycode="category_code", po_status="document_status")
     spent = po_spend(approved_invoice_lines(src).filter(
         optional_between(F.col("gl_date"), p.get("inv_date_from"), p.get("inv_date_to"))), p.today())
-    df = match_contracts(orders, contract_lines(src), probes=order_line_links(src)).join(
+    df = match_contracts(orders, contract_lines(src), probes=order_line_links(src, p, created=True, po_status="document_status")).join(
         spent.select("po_distribution_id", "total_po_spend"), "po_distribution_id", "left")
     price, unit = F.col("tax_exclusive_price"), F.col("uom_code")
     return df.select(
@@ -134,7 +134,7 @@ def order_detail(src: Source, p: Params, site: Site = DEFAULT_SITE) -> DataFrame
     """Orders with contract, spend and an outlook on the invoices still possible."""
     orders = p.narrow(_order_lines(src, p, site.code("ACTIVITY")), po_number="purchase_order_number", po_line_num="po_line_number")
     orders = with_group_count(orders, src.scan("po_lines_all", "po_header_id"), ("po_header_id", "po_header_id"), "po_total_lines")
-    df = match_contracts(orders, contract_lines(src, either_id=False), probes=order_line_links(src)).join(
+    df = match_contracts(orders, contract_lines(src, either_id=False), probes=order_line_links(src, p, po_number="segment1")).join(
         po_spend(approved_invoice_lines(src), p.today()), "po_distribution_id", "left")
     total = F.when(F.col("po_line_number").isNull(), F.lit(0)).otherwise(F.col("po_total_lines")).cast("bigint")
     return df.select(*_detail_columns(p, [total.alias("po_total_lines"), "po_line_id"]))
@@ -147,7 +147,7 @@ def order_risk(src: Source, p: Params, site: Site = DEFAULT_SITE) -> DataFrame:
         & (F.col("po_value") == "True"))
     orders = p.narrow(orders, documentstatus="document_status", party_name="supplier_name", po_number="purchase_order_number",
                       activity="segment4", requester_name="requestor_name")
-    df = match_contracts(orders, contract_lines(src), probes=order_line_links(src))
+    df = match_contracts(orders, contract_lines(src), probes=order_line_links(src, p, documentstatus="document_status", po_number="segment1"))
     df = p.narrow(df, contract_number="contract_number", contract_start_period=D.period_name(F.col("start_date")),
                   contract_end_period=D.period_name(F.col("end_date")))
     df = df.join(po_spend(approved_invoice_lines(src), p.today()), "po_distribution_id", "left")
@@ -160,8 +160,8 @@ def orders_with_contracts(src: Source, p: Params, site: Site = DEFAULT_SITE) ->
     orders = p.narrow(orders, costcentre="segment2", documentstatus="document_status", party_name="supplier_name",
                       business_unit="business_unit", po_number="purchase_order_number", activity="segment4", po_value="po_value",
                       period_name=D.period_name(F.col("creation_date")))
-    df = p.narrow(match_contracts(orders, contract_lines(src), probes=order_line_links(src)), contract_type="contract_type",
-                  contract_period=D.period_name(F.col("start_date")))
+    probes = order_line_links(src, p, created=True, documentstatus="document_status", po_number="segment1")
+    df = p.narrow(match_contracts(orders, contract_lines(src), probes=probes), contract_type="contract_type", contract_period=D.period_name(F.col("start_date")))
     df = df.join(latest_invoice_dates(approved_invoice_lines(src)), "po_distribution_id", "left")
     return df.select(
         F.col("purchase_order_number").alias("ponumber"), "po_header_id", "po_line_number", "category_id", "from_header_id", "from_line_id",

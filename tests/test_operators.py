@@ -164,9 +164,26 @@ def test_or_join_equals_nested_loop(spark, how, seed):
     assert rows(got, *want.columns) == rows(want)
     probes = left.drop("i").distinct()  # one row per key
     assert rows(R.or_equi_join(left, right, ALTERNATIVES, ["k"], how, probes), *want.columns) == rows(want)
+    assert rows(R.or_equi_join(left, right, ALTERNATIVES, ["k"], how, probes, sift=True), *want.columns) == rows(want)
+    assert rows(R.or_equi_join(left, right.limit(0), ALTERNATIVES, ["k"], how, sift=True), "i") == rows(left.join(right.limit(0), cond, how), "i")
     assert "NestedLoop" not in plan_of(got) and "Cartesian" not in plan_of(got)
 
 
+def test_sieve(spark):
+    """A sieve keeps what occurs and little else; of many search rows those without a partner are never made."""
+    keys = spark.range(0, 40_000, 4).select(F.xxhash64("id").alias("h"))
+    sieve = R.key_sieve(keys)
+    passed = [r[0] for r in spark.range(40_000).filter(R.may_hold(sieve, F.xxhash64("id"))).collect()]
+    assert set(range(0, 40_000, 4)) <= set(passed) and len(passed) < 10_300
+    left = spark.range(20_000).select("id", (F.col("id") % 5000).alias("a1"), (F.col("id") + 10**6).alias("a2"))
+    right = spark.range(10).select((F.col("id") * 7).alias("b1"), F.col("id").alias("b2"))
+    alternatives = [[("a1", "b1")], [("a2", "b2")]]
+    # a filter that a search row must pass stands in the plan below the generator
+    got = R.or_equi_join(left, right, alternatives, ["id"], "inner", sift=True)
+    assert got.count() == 40 == R.or_equi_join(left, right, alternatives, ["id"], "inner").count()
+    assert plan_of(got).count("scalar-subquery") + plan_of(got).count("Subquery") > 0
+
+
 def test_or_join_across_number_types(spark):
     left = spark.createDataFrame([(1, 5), (2, 6)], "k int, a int")
     right = spark.createDataFrame([(5.0,), (7.0,)], "b double").select(F.col("b").cast("decimal(18,2)").alias("b"))
