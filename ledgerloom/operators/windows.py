@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from ledgerloom.session import ensure_checkpoint_dir
+from ledgerloom.session import cut
 
 
 def top_n(df: DataFrame, keys: Sequence[str], by: Sequence[Column], n: int, number: str = "row_num") -> DataFrame:
@@ -106,32 +106,37 @@ def lag_steps(df: DataFrame, c: str, keys: Sequence[str], order: Sequence[str],
     return halo_window(df, keys, order, steps, {f"{prefix}{i}": step(i) for i in range(1, steps + 1)}, [c], chunk)
 
 
+def _with_places(df: DataFrame, order: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
+    """The rows with ``_part`` and ``_place`` in it, and per part the rows before it; parts follow the order.
+
+    Written once, because both depend on the layout.  The counts are one row per partition.
+    """
+    laid = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())).withColumns({
+        "_part": F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND((1 << 33) - 1)}).drop("_id")
+    counts = laid.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return laid, cut(counts.select("_part", before.alias("_before")))
+
+
 def global_row_number(df: DataFrame, order: Sequence[str], name: str = "row_num", start: int = 0) -> DataFrame:
     """Number all rows in order without gathering them.
 
-    Rows are range-partitioned and sorted; a reliable checkpoint fixes that layout, because the
-    numbers depend on it.  A row's number is its place in its partition plus the rows of the
-    partitions before, of which there is one count per partition.
+    Rows are range-partitioned, sorted and written once; a row's number is its place in its partition plus the rows of the
+    partitions before, of which there is one count per partition.  No further shuffle: the counts are a broadcast of one
+    row per partition.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    keys = [F.asc_nulls_last(o) for o in order]
-    laid = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-            .withColumn("_id", F.monotonically_increasing_id()).checkpoint())
-    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
-    counts = laid.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    return (laid.withColumn("_part", part).join(offsets, "_part")
-            .withColumn(name, (F.col("_before") + place + 1 + start).cast("bigint")).drop("_id", "_part", "_before"))
+    laid, offsets = _with_places(df, [F.asc_nulls_last(o) for o in order])
+    return (laid.join(F.broadcast(offsets), "_part")
+            .withColumn(name, (F.col("_before") + F.col("_place") + 1 + start).cast("bigint")).drop("_part", "_place", "_before"))
 
 
 def dense_rank_global(df: DataFrame, c: str, name: str, descending: bool = True) -> DataFrame:
-    """Dense rank over all rows: number the distinct values and join the number back.
+    """Dense rank over all rows: number the distinct values over range partitions and join the number back.
 
-    Few distinct values fit one sort; they are code meanings, so their number is that of a code
-    list.  The rank needs no window over the rows themselves.
+    The values may be as many as the rows: no task sees more of them than a partition holds, and their numbers meet the rows
+    in a join that Spark broadcasts or shuffles by their size.
     """
     key = F.desc_nulls_first("_value") if descending else F.asc_nulls_last("_value")
-    ranks = (df.select(F.col(c).alias("_value")).distinct()
-             .withColumn(name, F.row_number().over(Window.orderBy(key)).cast("bigint")))
+    values, offsets = _with_places(df.select(F.col(c).alias("_value")).distinct(), [key])
+    ranks = values.join(F.broadcast(offsets), "_part").select("_value", (F.col("_before") + F.col("_place") + 1).cast("bigint").alias(name))
     return df.join(ranks, F.col(c).eqNullSafe(F.col("_value")), "left").drop("_value")

@@ -265,6 +265,13 @@ def test_global_row_number(spark):
 def test_dense_rank_global(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("c",)], "c string")
     assert rows(W.dense_rank_global(df, "c", "r")) == [("a", 3), ("b", 2), ("b", 2), ("c", 1)]
+    near_unique = spark.range(0, 30_000, 1, 8).select(F.col("id"), F.when(F.col("id") % 1000 != 3, F.col("id") * 7919 % 29_000).alias("c"))
+    for descending in (True, False):
+        key = F.desc_nulls_first("c") if descending else F.asc_nulls_last("c")
+        want = near_unique.withColumn("r", F.dense_rank().over(Window.orderBy(key)).cast("bigint"))
+        got = W.dense_rank_global(near_unique, "c", "r", descending)
+        assert got.exceptAll(want).isEmpty() and got.count() == 30_000
+        assert "SinglePartition" not in plan_of(got) and "Window" not in plan_of(got)
 
 
 @pytest.mark.parametrize("size", [0, 1, 2, 6, 7, 9])

@@ -36,14 +36,12 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-# windows over a whole result: distinct code values, and one row per partition or chunk
-WHOLE = {"dense_rank_segment", "category_rank", "global_row_number", "report_r01", "report_r03", "report_r04", "report_r14", "report_r14_literal"}
-
-
 @pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if not re.match(r"list_|op\d+_|pipeline", n)])
 def test_plan_shape(spark, small, name):
     plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
-    if name not in WHOLE:
-        assert "Exchange SinglePartition" not in re.sub(r"Scan ExistingRDD.*", "", plan)
+    # what may meet in one task is the sieve of a contract search: a fixed number of words
+    lines = plan.splitlines()
+    whole = [below for line, below in zip(lines, lines[1:]) if "Exchange SinglePartition" in line]
+    assert all("collect_list(struct(word" in below for below in whole), whole
