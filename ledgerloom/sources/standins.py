@@ -119,8 +119,8 @@ _add("ap_holds_all", """
     SELECT invoice_id, 'H' || cast(l_linenumber AS string) AS hold_lookup_code,
            'Held: line ' || cast(l_linenumber AS string) AS hold_reason,
            CASE WHEN line_id % 5 = 0 THEN NULL ELSE line_id END AS line_location_id,
-           CASE WHEN line_id % 3 = 0 THEN 'APPROVED' ELSE NULL END AS release_lookup_code
-    FROM {li} WHERE rf = 'R'""")
+           CASE WHEN rf <> 'R' OR line_id % 3 = 0 THEN 'APPROVED' ELSE NULL END AS release_lookup_code
+    FROM {li}""")
 
 _add("ap_lookup_codes", """
     SELECT CASE WHEN n_nationkey = 3 THEN 'INCOMPLETE INVOICE' ELSE 'H' || cast(n_nationkey AS string) END AS lookup_code,
@@ -129,8 +129,8 @@ _add("ap_lookup_codes", """
     FROM {nation}""")
 
 _add("zmm_notes", """
-    SELECT invoice_id AS source_object_uid, 'Note ' || cast(lead_order AS string) AS note_txt
-    FROM {inv} WHERE lead_order % 4 < 2""")
+    SELECT CASE WHEN lead_order % 4 < 2 THEN invoice_id ELSE 1000000000000 + lead_order END AS source_object_uid, 'Note ' || cast(lead_order AS string) AS note_txt
+    FROM {inv}""")
 
 _add("hz_parties", _union(
     """SELECT s_suppkey AS party_id, s_name AS party_name, 'P' || cast(s_suppkey AS string) AS party_number,
@@ -170,10 +170,10 @@ _add("iby_pmt_instr_uses_all", f"""
 _add("iby_account_owners", """
     SELECT s_suppkey + 500000 AS ext_bank_account_id, s_suppkey AS account_owner_party_id FROM {supplier}""")
 _add("iby_ext_bank_accounts", """
-    SELECT s_suppkey + 500000 AS ext_bank_account_id, cast(7000000 + s_suppkey AS string) AS bank_account_num,
+    SELECT s_suppkey + CASE WHEN s_suppkey % 9 = 4 THEN 900000000000 ELSE 500000 END AS ext_bank_account_id, cast(7000000 + s_suppkey AS string) AS bank_account_num,
            CASE WHEN s_suppkey % 4 = 2 THEN NULL ELSE '00' END AS account_suffix,
            cast(s_nationkey AS bigint) AS branch_id
-    FROM {supplier} WHERE s_suppkey % 9 <> 4""")
+    FROM {supplier}""")
 _add("ce_bank_branches_v", """
     SELECT cast(n_nationkey AS bigint) AS branch_party_id, '0' || cast(n_regionkey AS string) AS bank_number,
            cast(100 + n_nationkey AS string) AS branch_number, 'Bank ' || n_name AS bank_name,
@@ -356,9 +356,9 @@ _add("gl_je_lines", f"""
            CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE 'XLAJEL' END AS gl_sl_link_table
     FROM {{li}}""")
 _add("gl_import_references", """
-    SELECT l_orderkey AS je_header_id, l_linenumber AS je_line_num, invoice_id * 10 + l_linenumber AS gl_sl_link_id,
-           'XLAJEL' AS gl_sl_link_table
-    FROM {li} WHERE l_orderkey % 6 = 0""")
+    SELECT l_orderkey AS je_header_id, l_linenumber AS je_line_num,
+           CASE WHEN l_orderkey % 6 = 0 THEN invoice_id * 10 + l_linenumber ELSE NULL END AS gl_sl_link_id, 'XLAJEL' AS gl_sl_link_table
+    FROM {li}""")
 _add("gl_je_categories", """
     SELECT 'Adjustment' AS je_category_name, 'Adjustment entry' AS user_je_category_name FROM {region} WHERE r_regionkey = 0
     UNION ALL SELECT 'Purchase', 'Purchase invoices' FROM {region} WHERE r_regionkey = 0""")
@@ -558,8 +558,8 @@ _add("per_all_people_f", "SELECT person_id, person_number, effective_start_date,
 _add("per_persons", "SELECT c_custkey AS person_id, date '1960-01-01' + cast(c_custkey % 9000 AS int) AS date_of_birth FROM {customer}")
 _add("per_people_legislative_f", f"""
     SELECT c_custkey AS person_id, CASE c_custkey % 4 WHEN 0 THEN 'F' WHEN 1 THEN 'M' WHEN 2 THEN 'ORA_HRX_GENDER_DIVERSE' ELSE NULL END AS sex,
-           date '1980-01-01' AS effective_start_date, {_TO9}
-    FROM {{customer}} WHERE c_custkey % 11 <> 5""")
+           date '1980-01-01' AS effective_start_date, CASE WHEN c_custkey % 11 = 5 THEN date '1985-12-31' ELSE {FOREVER} END AS effective_end_date
+    FROM {{customer}}""")
 _add("per_periods_of_service", f"""
     SELECT c_custkey AS period_of_service_id, c_custkey AS person_id, CASE WHEN c_custkey % 8 = 7 THEN 'C' ELSE 'E' END AS period_type,
            date '1991-01-01' + cast(c_custkey % 800 AS int) AS date_start, c_custkey AS action_occurrence_id,
@@ -580,15 +580,14 @@ _add("per_assignment_supervisors_f_v", _union(
     f"""SELECT c_custkey, c_custkey * 10 + 2, cast(floor(c_custkey / 20) AS bigint), cast(floor(c_custkey / 20) AS bigint) * 10 + 1,
                date '1996-03-01', {FOREVER} FROM {{customer}} WHERE c_custkey % 3 = 0"""))
 _add("per_email_addresses", _union(
-    """SELECT c_custkey AS person_id, c_custkey * 10 AS email_address_id, 'W1' AS email_type,
-              'w' || cast(c_custkey AS string) || '@corp.org' AS email_address, date '1995-01-01' AS date_from FROM {customer}
-       WHERE c_custkey % 9 <> 8""",
-    """SELECT c_custkey, c_custkey * 10 + 1, 'H1', 'h' || cast(c_custkey AS string) || '@home.org', date '1995-01-01' + cast(c_custkey % 3 AS int)
-       FROM {customer} WHERE c_custkey % 4 <> 3""",
+    """SELECT c_custkey AS person_id, c_custkey * 10 AS email_address_id, CASE WHEN c_custkey % 9 = 8 THEN 'X1' ELSE 'W1' END AS email_type,
+              'w' || cast(c_custkey AS string) || '@corp.org' AS email_address, date '1995-01-01' AS date_from FROM {customer}""",
+    """SELECT c_custkey, c_custkey * 10 + 1, CASE WHEN c_custkey % 4 = 3 THEN 'X1' ELSE 'H1' END, 'h' || cast(c_custkey AS string) || '@home.org',
+              date '1995-01-01' + cast(c_custkey % 3 AS int) FROM {customer}""",
     """SELECT c_custkey, c_custkey * 10 + 2, 'H1', 'h2' || cast(c_custkey AS string) || '@home.org', date '1995-01-02' FROM {customer}"""))
 _add("per_phones", _union(
-    """SELECT c_custkey AS person_id, 'HM' AS phone_type, '04-' || cast(c_custkey AS string) AS phone_number FROM {customer}
-       WHERE c_custkey % 6 <> 5""",
+    """SELECT c_custkey AS person_id, CASE WHEN c_custkey % 6 = 5 THEN 'FAX' ELSE 'HM' END AS phone_type, '04-' || cast(c_custkey AS string) AS phone_number
+       FROM {customer}""",
     "SELECT c_custkey, 'WM', '021-' || cast(c_custkey AS string) FROM {customer} WHERE c_custkey % 4 = 0"))
 _add("per_person_addr_usages_f", _union(
     f"""SELECT c_custkey AS person_id, c_custkey * 10 AS address_id, 'HOME' AS address_type, date '1995-01-01' AS effective_start_date, {_TO9}
@@ -613,15 +612,15 @@ _add("hcm_lookups", _union(
     f"""SELECT 'E' || cast(n_nationkey AS string), 'PER_ETHNICITY',
                CASE n_nationkey {' '.join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_ETH))} END FROM {{nation}} WHERE n_nationkey < {len(_ETH)}"""))
 _add("per_ethnicities", """
-    SELECT c_custkey AS person_id, 'E' || cast(c_custkey % 10 AS string) AS ethnicity,
+    SELECT CASE WHEN c_custkey % 17 = 3 THEN -1 - c_custkey ELSE c_custkey END AS person_id, 'E' || cast(c_custkey % 10 AS string) AS ethnicity,
            CASE WHEN c_custkey % 4 = 0 THEN 'E' || cast(c_custkey % 10 AS string) WHEN c_custkey % 4 = 1 THEN 'E5' ELSE NULL END AS attribute1,
            CASE WHEN c_custkey % 6 = 0 THEN 'E5' WHEN c_custkey % 6 = 1 THEN 'E6' ELSE NULL END AS attribute2
-    FROM {customer} WHERE c_custkey % 17 <> 3""")
+    FROM {customer}""")
 _add("cmp_salary", _union(
-    f"""SELECT c_custkey * 10 + 1 AS assignment_id, c_custkey AS person_id, c_custkey % 2 AS salary_basis_id,
+    f"""SELECT c_custkey * 10 + CASE WHEN c_custkey % 8 = 7 THEN 9 ELSE 1 END AS assignment_id, c_custkey AS person_id, c_custkey % 2 AS salary_basis_id,
                cast(50000 + c_custkey * 1.25 AS decimal(18,2)) AS salary_amount, cast(52000 + c_custkey * 1.25 AS decimal(18,2)) AS annual_ft_salary,
                cast(1 AS decimal(18,2)) AS fte_value, date '1997-02-01' AS date_from, CASE WHEN c_custkey % 7 = 0 THEN date '1998-02-28' ELSE {FOREVER} END AS date_to
-        FROM {{customer}} WHERE c_custkey % 8 <> 7""",
+        FROM {{customer}}""",
     f"""SELECT c_custkey * 10 + 1, c_custkey, c_custkey % 2, cast(61000 + c_custkey * 1.25 AS decimal(18,2)), cast(62000 AS decimal(18,2)),
                cast(0.8 AS decimal(18,2)), date '1998-03-01', {FOREVER} FROM {{customer}} WHERE c_custkey % 7 = 0 AND c_custkey % 8 <> 7"""))
 _add("cmp_salary_bases_vl", """
@@ -636,7 +635,7 @@ _add("per_grade_steps_f_vl", f"""
            {_FROM0}, CASE WHEN n_nationkey = 5 THEN date '1995-12-31' ELSE {FOREVER} END AS effective_end_date
     FROM {{nation}}""")
 _add("per_assign_grade_steps_f", _union(
-    f"SELECT c_custkey * 10 + 1 AS assignment_id, c_custkey % 12 AS grade_step_id, {_FROM0}, {_TO9} FROM {{customer}} WHERE c_custkey % 3 <> 1",
+    f"SELECT c_custkey * 10 + CASE WHEN c_custkey % 3 = 1 THEN 9 ELSE 1 END AS assignment_id, c_custkey % 12 AS grade_step_id, {_FROM0}, {_TO9} FROM {{customer}}",
     f"SELECT c_custkey * 10 + 1, c_custkey % 12, date '1991-01-01', {FOREVER} FROM {{customer}} WHERE c_custkey % 9 = 0"))
 
 # payroll
@@ -651,29 +650,29 @@ _add("pay_input_values_f", _union(*(
     f"SELECT cast(n_nationkey AS bigint) AS element_type_id, cast(n_nationkey * 10 + {i} AS bigint) AS input_value_id, '{b}' AS base_name FROM {{nation}} WHERE n_nationkey < 6"
     for i, b in enumerate(["Amount", "Periodicity", "Comments"]))))
 _add("pay_element_entry_values_f", _union(*(
-    f"""SELECT o_orderkey AS element_entry_id, (o_custkey % 6) * 10 + {i} AS input_value_id, {v} AS screen_entry_value,
+    f"""SELECT o_orderkey AS element_entry_id, (o_custkey % 6) * 10 + {i} + CASE WHEN o_orderkey % {m} = 1 THEN 5 ELSE 0 END AS input_value_id, {v} AS screen_entry_value,
                cast(o_orderdate AS date) AS effective_start_date,
                CASE WHEN o_orderkey % 3 = 0 THEN {FOREVER} ELSE cast(o_orderdate AS date) + cast(o_orderkey % 400 AS int) END AS effective_end_date
-        FROM {{orders}} WHERE o_orderkey % {m} <> 1"""
+        FROM {{orders}}"""
     for i, v, m in ((0, "cast(o_orderkey % 97 AS string)", 9), (1, "o_orderpriority", 4), (2, "'memo'", 5)))))
 _add("fnd_lookup_values", f"""
     SELECT CASE n_nationkey {' '.join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_ELEM[:5]))} END AS meaning,
            CASE WHEN n_nationkey % 2 = 0 THEN 'Allowance' ELSE 'Deduction' END AS description, 'ORG_ALLOWANCE_LIST' AS lookup_type, 'US' AS language
     FROM {{nation}} WHERE n_nationkey < 5""")
 _add("pay_entry_usages", """
-    SELECT o_orderkey AS element_entry_id, o_custkey AS payroll_relationship_id, o_custkey * 10 + 1 AS payroll_assignment_id FROM {orders}
-    WHERE o_orderkey % 25 <> 7""")
+    SELECT o_orderkey AS element_entry_id, CASE WHEN o_orderkey % 25 = 7 THEN -1 - o_custkey ELSE o_custkey END AS payroll_relationship_id,
+           o_custkey * 10 + 1 AS payroll_assignment_id FROM {orders}""")
 _add("pay_rel_groups_dn", """
     SELECT c_custkey AS payroll_relationship_id, c_custkey * 10 + 1 AS relationship_group_id, c_custkey * 10 + 1 AS assignment_id FROM {customer}""")
 
 # recruitment
 _add("irc_requisitions_b", """
     SELECT p_partkey AS requisition_id, 'IRC' || cast(p_partkey AS string) AS requisition_number, p_partkey AS position_id,
-           p_partkey % 3 AS current_phase_id, p_partkey % 5 AS current_state_id, date '1998-01-01' + cast(p_size AS int) AS open_date,
+           CASE WHEN p_partkey % 4 = 2 THEN 3 ELSE p_partkey % 3 END AS current_phase_id, p_partkey % 5 AS current_state_id, date '1998-01-01' + cast(p_size AS int) AS open_date,
            CASE WHEN p_size % 4 = 0 THEN date '1998-05-01' ELSE NULL END AS filled_date, cast(p_size % 10 AS bigint) AS grade_id,
            cast(p_size % 30 AS bigint) AS job_id, cast(floor(p_partkey / 20) AS bigint) AS hiring_manager_id,
            cast(floor(p_partkey / 20) AS bigint) * 10 + 1 AS manager_assignment_id, 'EMP' AS worker_type_code
-    FROM {part} WHERE p_partkey % 4 <> 2""")
+    FROM {part}""")
 _add("irc_phases_vl", """
     SELECT cast(r_regionkey AS bigint) AS phase_id, 'Phase ' || r_name AS name,
            CASE WHEN r_regionkey < 3 THEN 'REQUISITION' ELSE 'CSW' END AS type_code
