@@ -107,15 +107,15 @@ def lag_steps(df: DataFrame, c: str, keys: Sequence[str], order: Sequence[str],
 
 
 def _with_places(df: DataFrame, order: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
-    """The rows with ``_part`` and ``_place`` in it, and per part the rows before it; parts follow the order.
+    """The rows with ``_rank_part`` and ``_rank_place`` in it, and per part the rows before it; parts follow the order.
 
     Written once, because both depend on the layout.  The counts are one row per partition.
     """
     laid = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())).withColumns({
-        "_part": F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND((1 << 33) - 1)}).drop("_id")
-    counts = laid.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return laid, cut(counts.select("_part", before.alias("_before")))
+        "_rank_part": F.shiftright("_id", 33), "_rank_place": F.col("_id").bitwiseAND((1 << 33) - 1)}).drop("_id")
+    counts = laid.groupBy("_rank_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_rank_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return laid, cut(counts.select("_rank_part", before.alias("_rank_before")))
 
 
 def global_row_number(df: DataFrame, order: Sequence[str], name: str = "row_num", start: int = 0) -> DataFrame:
@@ -126,8 +126,8 @@ def global_row_number(df: DataFrame, order: Sequence[str], name: str = "row_num"
     row per partition.
     """
     laid, offsets = _with_places(df, [F.asc_nulls_last(o) for o in order])
-    return (laid.join(F.broadcast(offsets), "_part")
-            .withColumn(name, (F.col("_before") + F.col("_place") + 1 + start).cast("bigint")).drop("_part", "_place", "_before"))
+    return (laid.join(F.broadcast(offsets), "_rank_part")
+            .withColumn(name, (F.col("_rank_before") + F.col("_rank_place") + 1 + start).cast("bigint")).drop("_rank_part", "_rank_place", "_rank_before"))
 
 
 def dense_rank_global(df: DataFrame, c: str, name: str, descending: bool = True) -> DataFrame:
@@ -138,5 +138,5 @@ def dense_rank_global(df: DataFrame, c: str, name: str, descending: bool = True)
     """
     key = F.desc_nulls_first("_value") if descending else F.asc_nulls_last("_value")
     values, offsets = _with_places(df.select(F.col(c).alias("_value")).distinct(), [key])
-    ranks = values.join(F.broadcast(offsets), "_part").select("_value", (F.col("_before") + F.col("_place") + 1).cast("bigint").alias(name))
+    ranks = values.join(F.broadcast(offsets), "_rank_part").select("_value", (F.col("_rank_before") + F.col("_rank_place") + 1).cast("bigint").alias(name))
     return df.join(ranks, F.col(c).eqNullSafe(F.col("_value")), "left").drop("_value")
