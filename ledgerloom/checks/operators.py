@@ -179,7 +179,7 @@ register("as_of_history", lambda s: T.as_of(hist(s), F.lit(AT), "b", "e").select
 _POINTS = "SELECT c_custkey AS o_custkey, date '1995-06-01' + cast(c_custkey % 2400 AS int) AS day FROM {customer}"
 register("as_of_join_event_date", lambda s: T.as_of_join(s.query(_POINTS), hist(s), ["o_custkey"], "day", "b", "e", cell_years=2, horizon=(1990, 2010)),
          f"SELECT p.*, h.* EXCLUDE (o_custkey) FROM ({_POINTS}) p JOIN ({HIST}) h ON h.o_custkey = p.o_custkey AND h.b <= p.day AND h.e >= p.day")
-register("as_of_join_keep", lambda s: T.as_of_join(s.query(_POINTS), hist(s), ["o_custkey"], "day", "b", "e", "left"),
+register("as_of_join_keep", lambda s: T.as_of_join(s.query(_POINTS), hist(s), ["o_custkey"], "day", "b", "e", "left", cell_years=2, horizon=(1990, 2010)),
          f"SELECT p.*, h.* EXCLUDE (o_custkey) FROM ({_POINTS}) p LEFT JOIN ({HIST}) h ON h.o_custkey = p.o_custkey AND p.day BETWEEN h.b AND h.e")
 register("overlap_window", lambda s: hist(s).filter(T.overlaps(F.lit(dt.date(1997, 1, 1)), F.lit(dt.date(1997, 12, 31)), F.col("b"), F.col("e"), F.lit(AT)))
          .select("o_orderkey", F.lit("closed").alias("form")).unionByName(

@@ -8,7 +8,8 @@ from ledgerloom.checks.registry import register
 from ledgerloom.checks.reports_finance import bills
 from ledgerloom.checks.reports_ledger import _GROUPS
 from ledgerloom.functions.params import Params
-from ledgerloom.plans.lists import LISTS
+from ledgerloom.plans.lists import LISTS, SITE_LISTS
+from ledgerloom.site import Site
 
 PARAMS = Params(as_at=dt.date(1999, 6, 1), chosen={
     "team_group": ["Brand#1", "Brand#2", "Brand#3"], "description_type": "Allowance", "costcentre": ["427", "601"],
@@ -112,3 +113,11 @@ for _same, _first in {"L05": "L02", "L06": "L03", "L07": "L04", "L30": "L17", "L
 
 for _id in sorted(LISTS):
     register(f"list_{_id.lower()}", lambda s, fn=LISTS[_id]: fn(s, PARAMS), ORACLE[_id])
+
+# the same with the codes, cost centre and unit of another installation
+OTHER = Site(prefix="ALT", risk_cost_centre="115", risk_business_unit="EUROPE")
+for _id in SITE_LISTS:
+    _text = ORACLE[_id]
+    for _from, _to in (("'ORG_", "'ALT_"), ("'ORG ", "'ALT "), ("'427'", "'115'"), ("'Crown'", "'EUROPE'")):
+        _text = _text.replace(_from, _to)
+    register(f"list_{_id.lower()}_site", lambda s, fn=LISTS[_id]: fn(s, PARAMS, OTHER), _text)

@@ -34,16 +34,17 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str,
     """Join each left row to the right rows valid at its own date.
 
     The plan is a hash or sort-merge join on the keys with the interval as residual test, which
-    compares all rows of a key.  With ``cell_years`` (inner joins) the key is extended by a
-    calendar cell, so that a key with very many dates and intervals is spread over tasks and only
+    compares all rows of a key.  With ``cell_years`` (any ``how`` that keeps left rows or pairs: inner,
+    left, left_semi, left_anti) the key is extended by a calendar cell, so that a key with very many dates and intervals is spread over tasks and only
     rows of the same stretch of time meet.  An interval is copied into each cell it touches inside
     ``horizon``; a date lies in one cell only, so no pair comes twice.  Dates outside the horizon
-    are clamped to its first or last cell on both sides and keep the exact residual test.
+    are clamped to its first or last cell on both sides and keep the exact residual test.  A left row
+    is never copied, so one without a partner (no key, no date, no interval) stays once.
     """
     interval = right.withColumnsRenamed({start: "_start", end: "_end"})
     test = F.col(at).between(F.col("_start"), F.col("_end"))
     on = list(keys)
-    if cell_years and how == "inner":
+    if cell_years:
         low, high = horizon
 
         def cell(c: Column) -> Column:

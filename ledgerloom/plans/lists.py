@@ -1,4 +1,4 @@
-"""Value lists behind the report parameters.  ``LISTS`` maps an id to a function of source and parameters."""
+"""Value lists behind the report parameters.  ``LISTS`` maps an id to a function of source and parameters, ``SITE_LISTS`` names those that take a site too."""
 
 from __future__ import annotations
 
@@ -14,10 +14,11 @@ from ledgerloom.plans.contracts import contract_deliverables, with_contract_line
 from ledgerloom.plans.invoices import approved_invoice_lines, registered_suppliers, remit_emails
 from ledgerloom.plans.orders import CONTRACTOR_CATEGORIES
 from ledgerloom.plans.payroll import listed_elements
-from ledgerloom.site import DEFAULT_SITE
+from ledgerloom.site import DEFAULT_SITE, Site
 from ledgerloom.sources.catalog import Source, literal_row
 
-List = Callable[[Source, Params], DataFrame]
+#: Source, parameters and, where the list depends on the installation, its site.
+List = Callable[..., DataFrame]
 LISTS: dict[str, List] = {}
 
 
@@ -54,9 +55,9 @@ def _accounts(src: Source) -> DataFrame:
     return src.scan("gl_code_combinations", "code_combination_id segment2 segment4")
 
 
-def _activities(src: Source, df: DataFrame) -> DataFrame:
+def _activities(src: Source, df: DataFrame, site: Site) -> DataFrame:
     values = (src.scan("fnd_flex_values_vl", "flex_value description value_category")
-              .filter(F.col("value_category") == DEFAULT_SITE.code("ACTIVITY")))
+              .filter(F.col("value_category") == site.code("ACTIVITY")))
     used = df.join(_accounts(src), "code_combination_id")
     return list_values(semi(values, used, [("flex_value", "segment4")]), "description", "flex_value", order=["flex_value"])
 
@@ -108,16 +109,15 @@ def team_departments(src: Source, p: Params) -> DataFrame:
 
 
 @_list("L08")
-def element_names(src: Source, p: Params) -> DataFrame:
-    site = DEFAULT_SITE
-    listed = listed_elements(src).filter(~F.col("element_name").isin(site.label("PSA Union Membership"), site.label("Ex Gratia")))
+def element_names(src: Source, p: Params, site: Site = DEFAULT_SITE) -> DataFrame:
+    listed = listed_elements(src, site).filter(~F.col("element_name").isin(site.label("PSA Union Membership"), site.label("Ex Gratia")))
     listed = _required(listed, "description", p.get("description_type"))
     return list_values(semi(listed, src.scan("pay_element_entries_f", "element_type_id"), [("element_type_id", "element_type_id")]), "element_name")
 
 
 @_list("L09")
-def element_kinds(src: Source, p: Params) -> DataFrame:
-    return list_values(semi(listed_elements(src), src.scan("pay_element_entries_f", "element_type_id"), [("element_type_id", "element_type_id")]), "description")
+def element_kinds(src: Source, p: Params, site: Site = DEFAULT_SITE) -> DataFrame:
+    return list_values(semi(listed_elements(src, site), src.scan("pay_element_entries_f", "element_type_id"), [("element_type_id", "element_type_id")]), "description")
 
 
 @_list("L10", "L31")
@@ -195,8 +195,8 @@ def invoice_periods(src: Source, p: Params) -> DataFrame:
 
 
 @_list("L32", "L51")
-def order_activities(src: Source, p: Params) -> DataFrame:
-    return _activities(src, ordered(src))
+def order_activities(src: Source, p: Params, site: Site = DEFAULT_SITE) -> DataFrame:
+    return _activities(src, ordered(src), site)
 
 
 @_list("L33")
@@ -229,27 +229,26 @@ LISTS["L37"], LISTS["L38"] = _phases("CSW"), _phases("REQUISITION")
 
 # ---- order risk: orders of one cost centre and unit, most lists only if invoiced ----
 
-def risk_orders(src: Source, invoiced: bool = True) -> DataFrame:
-    site = DEFAULT_SITE
+def risk_orders(src: Source, site: Site, invoiced: bool = True) -> DataFrame:
     accounts = _accounts(src).filter(F.col("segment2") == site.risk_cost_centre)
     orders = _unit_names(src, ordered(src)).filter(F.col("unit") == site.risk_business_unit).join(accounts.drop("segment2", "segment4"), "code_combination_id")
     return semi(orders, approved_invoice_lines(src), [("po_distribution_id", "po_distribution_id")]) if invoiced else orders
 
 
 @_list("L40")
-def risk_order_numbers(src: Source, p: Params) -> DataFrame:
-    return list_values(risk_orders(src), "po_number")
+def risk_order_numbers(src: Source, p: Params, site: Site = DEFAULT_SITE) -> DataFrame:
+    return list_values(risk_orders(src, site), "po_number")
 
 
 @_list("L41")
-def risk_parties(src: Source, p: Params) -> DataFrame:
-    return _party_names(src, risk_orders(src))
+def risk_parties(src: Source, p: Params, site: Site = DEFAULT_SITE) -> DataFrame:
+    return _party_names(src, risk_orders(src, site))
 
 
 @_list("L42")
-def risk_contract_numbers(src: Source, p: Params) -> DataFrame:
+def risk_contract_numbers(src: Source, p: Params, site: Site = DEFAULT_SITE) -> DataFrame:
     """Contracts some order of the centre draws on; a document match needs the same category."""
-    orders = risk_orders(src, invoiced=False).select("from_header_id", "from_line_id", "contract_id", "po_number", "line_num", "category_id")
+    orders = risk_orders(src, site, invoiced=False).select("from_header_id", "from_line_id", "contract_id", "po_number", "line_num", "category_id")
     contracts = with_contract_lines(src, contract_deliverables(src), either_id=False)
     links = [[("purchasing_pk1_value", "from_header_id"), ("purchasing_pk2_value", "from_line_id")],
              [("purchasing_pk1_value", "contract_id")],
@@ -258,14 +257,14 @@ def risk_contract_numbers(src: Source, p: Params) -> DataFrame:
 
 
 @_list("L43")
-def risk_requesters(src: Source, p: Params) -> DataFrame:
+def risk_requesters(src: Source, p: Params, site: Site = DEFAULT_SITE) -> DataFrame:
     names = src.table("per_person_names_f").filter(F.col("name_type") == "GLOBAL")
-    return list_values(semi(names, risk_orders(src), [("person_id", "deliver_to_person_id")]), F.col("display_name").alias("requester_name"))
+    return list_values(semi(names, risk_orders(src, site), [("person_id", "deliver_to_person_id")]), F.col("display_name").alias("requester_name"))
 
 
 @_list("L44")
-def risk_activities(src: Source, p: Params) -> DataFrame:
-    return _activities(src, risk_orders(src))
+def risk_activities(src: Source, p: Params, site: Site = DEFAULT_SITE) -> DataFrame:
+    return _activities(src, risk_orders(src, site), site)
 
 
 @_list("L45", "L55")
@@ -305,3 +304,6 @@ def leaver_categories(src: Source, p: Params) -> DataFrame:
     left = src.table("per_periods_of_service").filter(F.col("actual_termination_date") < p.today()).select("person_id")
     posts = semi(src.scan("per_all_assignments_m", "person_id employment_category"), left, [("person_id", "person_id")])
     return list_values(semi(src.scan("hcm_lookups", "lookup_code meaning"), posts, [("lookup_code", "employment_category")]), "meaning")
+
+
+SITE_LISTS = ("L08", "L09", "L32", "L40", "L41", "L42", "L43", "L44", "L51")

@@ -358,7 +358,8 @@ def leaving_list(src: Source, p: Params) -> DataFrame:
         "position_id", "position_code", "name", "full_part_time", F.col("attribute2").alias("anzco_code"),
         F.col("attribute1").alias("occupational_category"), F.col("attribute4").alias("leadership_role"),
         F.col("attribute5").alias("leadership_tier"), "team_group", "department", "location", "job", "pos_start", "pos_end", "dept_start", "dept_end")
-    df = as_of_join(base, places, ["position_id"], left_on, "pos_start", "pos_end").filter(
+    # a position that very many people have left is spread over decades
+    df = as_of_join(base, places, ["position_id"], left_on, "pos_start", "pos_end", cell_years=10, horizon=(1980, 2040)).filter(
         F.col(left_on).between(F.col("dept_start"), F.col("dept_end")))
     boss_names = names(src, None).withColumnsRenamed({"person_id": "manager_id", "full_name": "manager_name"})
     boss_numbers = src.scan("per_people_f", "person_id:manager_id person_number:manager_number effective_start_date effective_end_date")

@@ -237,7 +237,7 @@ _add("gl_code_combinations", """
     FROM {part}""")
 _add("fnd_flex_values_vl", _union(
     """SELECT 'A' || cast(n_nationkey AS string) AS flex_value, 'Activity ' || n_name AS description,
-              CASE WHEN n_nationkey = 7 THEN 'ORG_PROJECT' ELSE 'ORG_ACTIVITY' END AS value_category FROM {nation}
+              CASE WHEN n_nationkey = 7 THEN 'ORG_PROJECT' WHEN n_nationkey > 8 THEN 'ALT_ACTIVITY' ELSE 'ORG_ACTIVITY' END AS value_category FROM {nation}
        WHERE n_nationkey < 11""",
     """SELECT 'R' || cast(r_regionkey AS string),
               CASE WHEN r_regionkey = 4 THEN 'Historical Cost Centres' ELSE 'Division ' || r_name END,
@@ -658,7 +658,8 @@ _add("pay_element_entry_values_f", _union(*(
 _add("fnd_lookup_values", f"""
     SELECT CASE n_nationkey {' '.join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_ELEM[:5]))} END AS meaning,
            CASE WHEN n_nationkey % 2 = 0 THEN 'Allowance' ELSE 'Deduction' END AS description, 'ORG_ALLOWANCE_LIST' AS lookup_type, 'US' AS language
-    FROM {{nation}} WHERE n_nationkey < 5""")
+    FROM {{nation}} WHERE n_nationkey < 5
+    UNION ALL SELECT '{_ELEM[5]}', 'Allowance', 'ALT_ALLOWANCE_LIST', 'US' FROM {{region}} WHERE r_regionkey = 0""")
 _add("pay_entry_usages", """
     SELECT o_orderkey AS element_entry_id, CASE WHEN o_orderkey % 25 = 7 THEN -1 - o_custkey ELSE o_custkey END AS payroll_relationship_id,
            o_custkey * 10 + 1 AS payroll_assignment_id FROM {orders}""")

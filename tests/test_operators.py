@@ -54,6 +54,13 @@ def test_as_of_join_cells_change_nothing(spark):
     assert plain == celled and len(plain) > 1000
     kept = T.as_of_join(points, spans, ["k"], "d", "s", "e", "left")
     assert kept.select("i").distinct().count() == 400
+    odd = points.union(spark.createDataFrame([(500, None, D(1990, 1, 1)), (501, 0, None), (502, 99, D(1990, 1, 1)), (501, 0, None)], "i int, k int, d date"))
+    for how in ("left", "left_semi", "left_anti"):
+        cols = ["i", "j", "s", "e"] if how == "left" else ["i"]
+        want = T.as_of_join(odd, spans, ["k"], "d", "s", "e", how)
+        for years in (1, 30):
+            got = T.as_of_join(odd, spans, ["k"], "d", "s", "e", how, cell_years=years, horizon=(1950, 2050))
+            assert rows(got, *cols) == rows(want, *cols) and got.columns == want.columns
 
 
 def test_version_as_of(spark):
