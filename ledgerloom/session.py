@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,12 +58,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+_scratch: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch", default=None)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Intermediates that are written inside the block are dropped at its end, also after an error.
+
+    Build, write and leave: what is still to be read of a report must be read inside the block.  Blocks may be nested; each
+    drops its own.  Outside of a block intermediates stay in the checkpoint folder, whose owner clears it.
+    """
+    from ledgerloom.sources.sinks import Folder
+
+    folder = f"{ensure_checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        Folder(spark, folder).delete()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write an intermediate result once to the shared checkpoint folder and read it back.
 
     For results that several branches of a plan use and that cost many joins to build.  The copy is
-    columnar, so each branch reads its own columns only, and it outlives lost executors.
+    columnar, so each branch reads its own columns only, and it outlives lost executors.  It is dropped at the end of the
+    ``scratch`` block it is made in.
     """
-    path = os.path.join(ensure_checkpoint_dir(df.sparkSession), f"cut-{uuid.uuid4().hex}")
+    path = os.path.join(_scratch.get() or ensure_checkpoint_dir(df.sparkSession), f"cut-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,10 +6,12 @@ A report is written beside its place and moved there when it is whole, so a run
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.session import scratch
+
 
 class Folder:
     """A folder in any file system that Spark reads."""
@@ -74,6 +76,12 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet", partition_by: S
     old.delete()
 
 
+def run_report(spark: SparkSession, build: Callable[[], DataFrame], path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
+    """Build a report, replace the one at ``path`` and drop all intermediates of the run."""
+    with scratch(spark):
+        write_report(build(), path, fmt, partition_by)
+
+
 def write_once(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
     """Write a folder that is never replaced; false, and nothing done, if it is there already."""
     spark = df.sparkSession

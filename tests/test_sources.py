@@ -1,11 +1,15 @@
+import datetime as dt
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.session import cut, ensure_checkpoint_dir
+from ledgerloom.functions.params import Params
+from ledgerloom.plans import ledger, versions
+from ledgerloom.session import cut, ensure_checkpoint_dir, scratch
 from ledgerloom.sources.catalog import DatabaseSource, FolderSource, StandInSource, literal_row
-from ledgerloom.sources.sinks import Folder, write_once, write_report
+from ledgerloom.sources.sinks import Folder, run_report, write_once, write_report
 from ledgerloom.sources.standins import STANDINS, as_cte, references
 from tests.conftest import rows
 
@@ -72,6 +76,25 @@ def test_refused_move_puts_the_old_report_back(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(path).count() == 10 and [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["report"]
 
 
+def test_intermediates_go_with_the_run(spark, small, tmp_path):
+    """The order audit and the ledger leave their report and nothing else; so does a run that fails."""
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = {p.name for p in folder.iterdir()}
+    p = Params(as_at=dt.date(1998, 3, 1), chosen={"po_num": [f"PO{k}" for k in range(40)], "entity": "1"})
+    for name, report in (("audit", versions.order_changes), ("ledger", ledger.ledger_transactions)):
+        run_report(spark, lambda report=report: report(StandInSource(spark, small), p), str(tmp_path / name))
+        assert spark.read.parquet(str(tmp_path / name)).count() > 0
+        assert {p.name for p in folder.iterdir()} == before
+    with pytest.raises(ZeroDivisionError), scratch(spark) as outer:
+        kept = cut(spark.range(3))
+        with scratch(spark) as inner:
+            cut(spark.range(4))
+            assert Folder(spark, inner).exists()
+        assert not Folder(spark, inner).exists() and kept.count() == 3 and Folder(spark, outer).exists()
+        raise ZeroDivisionError
+    assert {p.name for p in folder.iterdir()} == before
+
+
 def test_sink_and_cut(spark, tmp_path):
     df = literal_row(spark, a=1, b="x,\"y\"")
     for fmt in ("parquet", "csv"):
