@@ -5,21 +5,13 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.session import cut
+from ledgerloom.sources.schemas import check, exact_numbers
 from ledgerloom.sources.standins import RAW_TABLES, STANDINS, references
 
 
-def exact_numbers(df: DataFrame) -> DataFrame:
-    """Money, rates and quantities never stay floating point; all keep ten places."""
-    loose = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    if not loose:
-        return df
-    return df.select(*(
-        F.col(c).cast("decimal(28,10)").alias(c) if c in loose else F.col(c) for c in df.columns))
-
-
 class Source:
     """Base: subclasses implement ``table``."""
 
@@ -30,15 +22,13 @@ class Source:
         raise NotImplementedError
 
     def scan(self, name: str, columns: str | None = None, prefix: str = "") -> DataFrame:
-        """Pick columns (blank-separated, ``col:alias`` renames); ``prefix`` starts all other names."""
+        """Pick and check columns (blank-separated, ``col:alias`` renames); ``prefix`` starts all other names."""
         df = self.table(name)
         if columns is None:
             return df
-        picks = []
-        for item in columns.split():
-            c, _, alias = item.partition(":")
-            picks.append(F.col(c).alias(alias or f"{prefix}{c}"))
-        return df.select(*picks)
+        items = [item.partition(":") for item in columns.split()]
+        check(name, df, [c for c, _, _ in items])
+        return df.select(*(F.col(c).alias(alias or f"{prefix}{c}") for c, _, alias in items))
 
 
 class FolderSource(Source):

@@ -9,6 +9,7 @@ from ledgerloom.functions.params import Params
 from ledgerloom.plans import ledger, versions
 from ledgerloom.session import cut, ensure_checkpoint_dir, scratch
 from ledgerloom.sources.catalog import DatabaseSource, FolderSource, StandInSource, literal_row
+from ledgerloom.sources.schemas import SchemaError, check, kind_of
 from ledgerloom.sources.sinks import Folder, run_report, write_once, write_report
 from ledgerloom.sources.standins import STANDINS, as_cte, references
 from tests.conftest import rows
@@ -21,6 +22,25 @@ def test_folder_source_reads_exact_money(spark, tmp_path):
     assert src.scan("t", "id note", prefix="p_").columns == ["p_id", "p_note"]
 
 
+def test_declared_kinds(spark, small, tmp_path):
+    """A missing or differently typed column is a named error; exact columns stay as they are, so filters reach the files."""
+    spark.createDataFrame([(1, "7", 0.1, 52.5, "x")], "invoice_id int, vendor_id string, invoice_amount double, latitude double, invoice_num string").withColumn(
+        "tax_amount", F.lit(Decimal("1.234")).cast("decimal(20,3)")).write.parquet(str(tmp_path / "ap_invoices_all"))
+    src = FolderSource(spark, str(tmp_path))
+    with pytest.raises(SchemaError, match="table ap_invoices_all has no column org_id"):
+        src.scan("ap_invoices_all", "invoice_id org_id:unit")
+    with pytest.raises(SchemaError, match="column vendor_id of table ap_invoices_all must hold whole number, not string"):
+        src.scan("ap_invoices_all", "vendor_id")
+    got = src.scan("ap_invoices_all", "invoice_id invoice_amount tax_amount latitude").filter(F.col("tax_amount") > 1)
+    assert dict(got.dtypes) == {"invoice_id": "int", "invoice_amount": "decimal(28,10)", "tax_amount": "decimal(20,3)", "latitude": "double"}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(tax_amount), GreaterThan(tax_amount,1.000)]" in plan
+    assert kind_of("approver_id") == "text" and kind_of("po_line_number") == "whole number" and kind_of("person_number") == "text" and kind_of("shape") is None
+    for name in STANDINS:
+        df = StandInSource(spark, small).table(name)
+        check(name, df, df.columns)
+
+
 def test_database_source(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS reports_test")
     spark.range(3).createOrReplaceTempView("plain")
