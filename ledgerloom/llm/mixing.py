@@ -27,16 +27,19 @@ BUCKET_ROWS = 200
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int = DP_WINDOW) -> np.ndarray:
     """How many documents of each length to take so that the sum comes nearest to ``budget`` (a tie goes to the lower sum).
 
-    Lengths take their proportional share first, then whole documents from the longest down until what is left lies within
-    ``window``; for that rest a bounded-knapsack programme over all documents left finds the nearest sum.  Its memory is
-    ``2 * window`` however many documents there are.
+    A budget within half a ``window`` is the bounded-knapsack programme's alone, over all documents: the result is the nearest
+    sum there is.  Of a larger one lengths take their proportional share of all but half a window first, then whole documents
+    from the longest down until what is left lies within it; the programme finds the nearest sum for that rest over all
+    documents left.  Its memory is ``2 * window`` however many documents there are.
     """
     order = np.argsort(-lengths, kind="stable")
     size, have = lengths[order].astype(np.int64), counts[order].astype(np.int64)
     have = np.where(size > 0, have, 0)
     total = int((size * have).sum())
     budget = max(0, min(int(budget), total))
-    taken = np.array([int(c) * budget // total for c in have], np.int64) if total else np.zeros_like(have)
+    # the share is that of a smaller budget, so that the programme has room on both sides
+    early = max(0, budget - window // 2)
+    taken = np.array([int(c) * early // total for c in have], np.int64) if total else np.zeros_like(have)
     rest = budget - int((taken * size).sum())
     for i in range(len(size)):
         if rest <= window // 2:

@@ -155,11 +155,13 @@ def _verified(k: int, similarity: float):
 
 def near_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS, similarity: float = SIMILARITY,
               trees: int = TREES, max_depth: int = MAX_DEPTH, recall: float = RECALL, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """One row per document: doc_id, key, class_id, n_links, n_copies.
+    """One row per document: doc_id, key, class_id, n_links, n_copies, class_key.
 
     Two documents are linked if the Jaccard similarity of their sets of word ``k``-grams is at least ``similarity``; equal
     texts with a word are linked.  ``class_id`` is the smallest doc_id that links lead to, ``n_links`` the number of other
-    documents linked directly and ``n_copies`` those of them with the very same text.  ``key`` is the MD5 of the text.
+    documents linked directly and ``n_copies`` those of them with the very same text.  ``key`` is the MD5 of the text,
+    ``class_key`` the smallest key that links lead to (null for texts without words): other than ``class_id`` it tells classes
+    apart also where unrelated texts share an identifier.
     Texts of fewer than ``k`` words have all their words as one gram.  Null and wordless texts link with nothing and are
     classes of their own.  A null doc_id is never a class while another one is there.  An empty table gives no rows.
     """
@@ -188,25 +190,25 @@ def near_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     joined = components(checked.select(F.col("key").alias("a"), F.col("tie").alias("b")))
 
     ids = joined.join(classes.select(F.col("key").alias("node"), "id"), "node")
-    tied = ids.join(ids.groupBy("component").agg(F.min("id").alias("class_id")), "component").select(F.col("node").alias("key"), "class_id")
+    tied = ids.join(ids.groupBy("component").agg(F.min("id").alias("class_id")), "component").select(F.col("node").alias("key"), "class_id", "component")
     per_text = cut(classes.select("key", "id", "copies").join(tied, "key", "left").join(links, "key", "left")
                 .select("key", F.coalesce("class_id", "id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                        (F.col("copies") - 1).alias("n_copies")))
+                        (F.col("copies") - 1).alias("n_copies"), F.coalesce("component", "key").alias("class_key")))
     return (signed.select("doc_id", "key").join(per_text, "key", "left")
             .select("doc_id", "key", F.when(F.col("n_links").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-                    F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(0)).alias("n_copies")))
+                    F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(0)).alias("n_copies"), "class_key"))
 
 
 def keep_first(docs: DataFrame, **options: object) -> DataFrame:
     """The documents with one row of each class kept: the one whose doc_id is the class.  Columns stay as they are.
 
-    Of rows that share this doc_id one is kept.  Classes in which no document has an identifier keep one row per text.
+    Of rows of a class that share this doc_id the one with the smallest text key is kept, so unrelated texts under one
+    identifier both stay.  Texts without words are classes of their own, one row per identifier and text.
     """
-    near = near_join(docs, **options).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("class_id").alias("_class"))
+    near = near_join(docs, **options).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("class_id").alias("_class"), F.col("class_key").alias("_group"))
     first = near.filter(F.col("_id").eqNullSafe(F.col("_class")))
-    # several texts under one identifier in one class: the smallest key stays
-    chosen = cut(first.filter("_id is not null").groupBy("_id").agg(F.min("_key").alias("_key"))
-                 .union(first.filter("_id is null").select("_id", "_key").distinct()))
+    chosen = cut(first.filter("_group is not null").groupBy("_group").agg(F.min(F.struct("_key", "_id")).alias("_one")).select("_one._id", "_one._key")
+                 .union(first.filter("_group is null").select("_id", "_key").distinct()))
     keyed = docs.withColumn("_row_key", binary_key(F.col("text")))
     kept = keyed.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_row_key").eqNullSafe(F.col("_key")))
     return kept.dropDuplicates(["doc_id", "_row_key"]).select(*docs.columns)

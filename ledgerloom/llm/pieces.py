@@ -26,12 +26,13 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm.common import arrow_groups, binary_key, cut_by
-from ledgerloom.session import cut
+from ledgerloom.llm.common import binary_key, cut_by
 
 MODEL = os.environ.get("LEDGERLOOM_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 BATCH_BYTES = 16 << 20
 SHARD_BYTES = 32 << 20
+#: Buckets of a written table; Spark allows 100,000.
+MAX_BUCKETS = 50_000
 SPACE = "▁"
 SLICE = 1 << 18
 STRETCH = 256
@@ -185,12 +186,9 @@ def _batches(docs: DataFrame, shards: int, batch_bytes: int, joints: tuple[np.nd
     return docs.mapInArrow(run, _BATCHED)
 
 
-def _distinct(groups: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
-    for group in groups:
-        words = pc.unique(pa.chunked_array([_unpacked(payload.as_buffer()) for payload in group.column("payload")], pa.string()))
-        for low in range(0, len(words), 10_000):
-            piece = words.slice(low, 10_000)
-            yield pa.RecordBatch.from_arrays([pa.array([group.column("shard")[0].as_py()] * len(piece), pa.int32()), piece], names=["shard", "word"])
+def _distinct(group: pa.Table) -> pa.Table:
+    words = pc.unique(pa.chunked_array([_unpacked(payload.as_buffer()) for payload in group.column("payload")], pa.string()))
+    return pa.table({"place": pa.array([group.column("place")[0].as_py()] * len(words), pa.string()), "word": words})
 
 
 def _merged(n: int, found: memoryview, first: int, longest: int, rank: list[float | None]) -> list[int]:
@@ -327,16 +325,11 @@ def encode_words(words: DataFrame, vocabulary: Pieces, by: tuple[str, ...] = ("w
     return folded.select(*by, F.flatten(F.transform(F.sequence(F.lit(0), F.size("bounds") - 2), spell)).alias("ids"))
 
 
-def _answered(groups: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
+def _answered(asked: pa.Table, known: pa.Table) -> pa.Table:
     """For each batch of a shard the pieces of its words, in its own order."""
-    for group in groups:
-        known = group.filter(pc.is_valid(group.column("word")))
-        words, ids = known.column("word").combine_chunks(), known.column("ids").combine_chunks()
-        asked = group.filter(pc.is_null(group.column("word")))
-        for batch, payload in zip(asked.column("batch").to_pylist(), asked.column("payload"), strict=True):
-            at = pc.index_in(_unpacked(payload.as_buffer()), value_set=words)
-            yield pa.RecordBatch.from_arrays([pa.array([batch]), group.column("shard")[:1].combine_chunks(), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
-                                              pa.array([_packed(ids.take(at))], pa.binary())], names=["batch", "shard", "doc_id", "text_md5", "payload"])
+    words, ids = known.column("word").combine_chunks(), known.column("ids").combine_chunks()
+    told = [_packed(ids.take(pc.index_in(_unpacked(payload.as_buffer()), value_set=words))) for payload in asked.column("payload")]
+    return pa.table({"batch": asked.column("batch"), "shard": asked.column("shard"), "payload": pa.array(told, pa.binary())})
 
 
 def _assembled(packed: pa.Table, answers: pa.Table) -> pa.Table:
@@ -371,15 +364,18 @@ def encode(docs: DataFrame, vocabulary: Pieces, id_col: str = "doc_id", text_col
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), binary_key(F.col(text_col)).alias("text_md5"))
     held = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    packed = cut_by(_batches(texts, max(1, int(held // shard_bytes)), batch_bytes, vocabulary.joints), "batch", max(1, int(held // (4 * batch_bytes))))
+    shards = max(1, int(held // shard_bytes))
+    buckets = max(1, min(MAX_BUCKETS, int(held // (4 * batch_bytes))))
+    # one table holds both: documents by their batch, words by their shard; each is grouped where it lies
+    place = F.when(F.col("shard") > DEALT, F.concat(F.lit("s"), "shard")).otherwise(F.col("batch"))
+    packed = cut_by(_batches(texts, shards, batch_bytes, vocabulary.joints).withColumn("place", place), "place", buckets)
     asked = packed.filter(F.col("shard") > DEALT)
-    words = arrow_groups(asked.select("shard", "payload"), ["shard"], _distinct, "shard int, word string")
-    known = cut(encode_words(words, vocabulary, ("shard", "word")))
-    both = asked.select("shard", "batch", "payload", F.lit(None).cast("string").alias("word"), F.lit(None).cast("array<int>").alias("ids")).unionByName(
-        known.select("shard", F.lit(None).cast("string").alias("batch"), F.lit(None).cast("binary").alias("payload"), "word", "ids"))
-    answers = arrow_groups(both, ["shard"], _answered, _BATCHED)
+    words = asked.select("place", "payload").groupBy("place").applyInArrow(_distinct, "place string, word string").repartition(min(shards, MAX_BUCKETS), "place")
+    known = cut_by(encode_words(words, vocabulary, ("place", "word")), "place", buckets)
+    answers = asked.select("place", "batch", "shard", "payload").groupBy("place").cogroup(known.groupBy("place")).applyInArrow(
+        _answered, "batch string, shard int, payload binary")
     mine = packed.filter(F.col("shard").isNull() | (F.col("shard") == DEALT))
-    return mine.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_assembled, "doc_id long, text_md5 binary, ids array<int>")
+    return mine.groupBy("place").cogroup(answers.groupBy(F.col("batch").alias("place"))).applyInArrow(_assembled, "doc_id long, text_md5 binary, ids array<int>")
 
 
 def decode(ids: Column, vocabulary: Pieces) -> Column:

@@ -17,9 +17,17 @@ def test_budget_is_nearest_sum(items, budget):
     assert (got >= 0).all() and (got <= have).all()
     sums = {sum(c * s for c, s in zip(pick, size)) for pick in itertools.product(*(range(h + 1) for h in have))}
     budget = min(budget, int((size * have).sum()))
-    if len(items) == 1 or (have == 1).all():
-        assert abs(int((got * size).sum()) - budget) == min(abs(s - budget) for s in sums)
-    assert abs(int((got * size).sum()) - budget) <= size.max()
+    assert abs(int((got * size).sum()) - budget) == min(abs(s - budget) for s in sums)
+
+
+def test_budget_gives_back():
+    """Proportional shares alone cannot reach this sum."""
+    size, have = np.array([11, 9, 2, 3]), np.array([3, 2, 2, 2])
+    assert int((fit_budget(size, have, 46) * size).sum()) == 46
+    size, have = np.array([700, 300, 41, 40]), np.array([10_000, 20_000, 500, 500])
+    for budget in (9_000_001, 12_345_677, 5):
+        near = int((fit_budget(size, have, budget) * size).sum())
+        assert near == budget or budget == 5 and near == 0
 
 
 def expected_targets(sizes, weights=(5, 2, 1)):

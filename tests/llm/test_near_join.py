@@ -82,3 +82,11 @@ def test_odd_rows(spark):
     assert kept.columns == df.columns
     assert sorted((r.doc_id or -1, r.text or "") for r in kept.collect()) == [(-1, ""), (-1, "only here"), (1, "a b c d e f"), (2, "")]
     assert near_join(df.limit(0)).count() == 0 and keep_first(df.limit(0)).count() == 0
+
+
+def test_unrelated_texts_under_one_identifier(spark):
+    """Both classes keep a row, and what is near to one of them goes with it."""
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(7, a), (7, b), (9, b + " end"), (8, a), (7, ""), (7, " ")]
+    df = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], SCHEMA)
+    assert sorted((r.doc_id, r.text) for r in keep_first(df).collect()) == sorted([(7, a), (7, b), (7, ""), (7, " ")])
