@@ -274,7 +274,9 @@ register("report_r17", lambda s: O.invoices_by_order(s, Params(as_at=AT, chosen=
            paid AS payment_status_flag, line_about AS invoice_line_description
     FROM buy JOIN bill USING (po_distribution_id) WHERE s2 IN ('427', '115', '901')""")
 
-register("report_r18", lambda s: I.open_holds(s, PLAIN), f"""
+
+def _holds(how: str) -> str:
+    return f"""
     WITH person AS (SELECT * FROM {{per_person_names_f}} WHERE name_type = 'GLOBAL'
                     AND effective_start_date <= date '1998-03-01' AND effective_end_date >= date '1998-03-01')
     SELECT {d('h.invoice_date')} AS invoice_date, h.invoice_id, h.invoice_num, h.invoice_amount, h.description AS invoice_description,
@@ -285,11 +287,15 @@ register("report_r18", lambda s: I.open_holds(s, PLAIN), f"""
     JOIN {{ap_lookup_codes}} c ON c.lookup_code = x.hold_lookup_code AND c.lookup_type = 'HOLD CODE'
     JOIN {{poz_suppliers}} s USING (vendor_id) JOIN {{hz_parties}} p ON p.party_id = s.party_id
     JOIN {{hr_organization_units_f_tl}} u ON u.organization_id = h.org_id
-    JOIN {{po_line_locations}} k USING (line_location_id) JOIN {{po_lines_all}} l USING (po_header_id, po_line_id)
-    JOIN {{po_distributions_all}} q USING (po_header_id, po_line_id, line_location_id)
-    JOIN person ON person.person_id = q.deliver_to_person_id
+    {how} JOIN {{po_line_locations}} k USING (line_location_id) {how} JOIN {{po_lines_all}} l USING (po_header_id, po_line_id)
+    {how} JOIN {{po_distributions_all}} q USING (po_header_id, po_line_id, line_location_id)
+    {how} JOIN person ON person.person_id = q.deliver_to_person_id
     LEFT JOIN {{po_headers_all}} o USING (po_header_id) LEFT JOIN {{zmm_notes}} z ON z.source_object_uid = h.invoice_id
-    WHERE x.release_lookup_code IS NULL AND h.invoice_amount <> 0""")
+    WHERE x.release_lookup_code IS NULL AND h.invoice_amount <> 0"""
+
+
+register("report_r18", lambda s: I.open_holds(s, PLAIN), _holds(""))
+register("report_r18_all_holds", lambda s: I.open_holds(s, PLAIN, keep_unmatched=True), _holds("LEFT"))
 
 register("report_r09", lambda s: I.buyer_created_invoices(s, PLAIN), f"""
     WITH bank AS (

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 
 from ledgerloom.checks.registry import narrowed, register
 from ledgerloom.checks.reports_finance import PLAIN, bills, d, sentence
-from ledgerloom.functions.codes import COST_CENTRE_GROUPS
 from ledgerloom.functions.params import Params
 from ledgerloom.plans import ledger as L, versions as V
 from ledgerloom.session import ensure_checkpoint_dir
@@ -136,7 +135,16 @@ register("report_r16_narrowed", lambda s: L.ledger_transactions(s, NARROWED), _l
 
 # ---- order audit ----
 
-_GROUPS = " ".join("WHEN g.segment2 IN (" + ", ".join(f"'{c}'" for c in codes) + f") THEN '{name}'" for codes, name in COST_CENTRE_GROUPS.items())
+# Fixed values, written out here too, so that a slip in the library's list shows.
+_GROUPS = """WHEN g.segment2 = '115' THEN 'Chief Executive' WHEN g.segment2 = '999' THEN 'Suspense Account' WHEN g.segment2 = '991' THEN 'Multiple'
+    WHEN g.segment2 = '810' THEN 'Place'
+    WHEN g.segment2 IN ('901', '911', '215', '216', '217', '218', '219', '235', '821', '238', '861', '871', '246', '247', '249')
+      THEN 'Intelligence and System Direction'
+    WHEN g.segment2 IN ('401', '405', '406', '341', '261', '409', '361', '426', '427', '431', '432', '441', '331') THEN 'System Delivery and Performance'
+    WHEN g.segment2 IN ('501', '511', '515', '541', '531', '525', '521', '551') THEN 'Tumuaki Te Tāhui'
+    WHEN g.segment2 IN ('601', '621', '711', '631', '941', '721', '641', '661', '611', '615') THEN 'Organisational Performance'
+    WHEN g.segment2 IN ('701', '651', '681', '741') THEN 'Office of Chief Executive'
+    WHEN g.segment2 IN ('301', '231', '241', '841', '221', '851', '305', '351', '827', '835', '836', '931') THEN 'Solutions Design and Implementation'"""
 _WORD = "CASE {t} WHEN 'I' THEN 'New' WHEN 'U' THEN 'Changed' WHEN 'C' THEN 'Changed' END"
 _FILLED = V.FILLED
 

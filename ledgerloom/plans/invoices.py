@@ -157,8 +157,12 @@ def invoices_of_orders(src: Source, p: Params) -> DataFrame:
             .agg(F.sum(spend_amount()).cast("decimal(38,2)").alias("invoice_amount")))
 
 
-def open_holds(src: Source, p: Params) -> DataFrame:
-    """Unreleased holds with the order line and the requester; holds without a current requester drop out."""
+def open_holds(src: Source, p: Params, keep_unmatched: bool = False) -> DataFrame:
+    """Unreleased holds with the order line and the requester; holds without a current requester drop out.
+
+    ``keep_unmatched`` keeps them, and those without an order line: the outer joins as they were meant, with the requester's
+    date test inside the join.
+    """
     holds = (src.scan("ap_holds_all", "invoice_id hold_lookup_code hold_reason line_location_id release_lookup_code")
              .filter(F.col("release_lookup_code").isNull()).drop("release_lookup_code"))
     codes = (src.scan("ap_lookup_codes", "lookup_code:hold_lookup_code lookup_type description:lookup_description displayed_field")
@@ -169,16 +173,18 @@ def open_holds(src: Source, p: Params) -> DataFrame:
     held = _unit_and_supplier(src, heads.join(holds, "invoice_id").join(codes, "hold_lookup_code"), "org_id", "inner")
     held = p.narrow(held, holdreason="displayed_field", businessunit="business_unit").join(notes, "invoice_id", "left")
     places = src.scan("po_line_locations", "line_location_id po_header_id po_line_id")
-    # the requester must exist today, so every step to it is an inner join
+    # where the requester must exist today, every step to it is an inner join
+    how = "left" if keep_unmatched else "inner"
     dists = src.scan("po_distributions_all", "po_header_id po_line_id line_location_id deliver_to_person_id:person_id")
     names = as_of(src.table("per_person_names_f").filter(F.col("name_type") == "GLOBAL"), p.today()).select(
         "person_id", F.col("display_name").alias("requestor_name"))
     lines = src.scan("po_lines_all", "po_header_id po_line_id line_num")
     orders = src.scan("po_headers_all", "po_header_id segment1")
-    asked = (places.join(lines, ["po_header_id", "po_line_id"]).join(dists, ["po_header_id", "po_line_id", "line_location_id"])
-             .join(names, "person_id").join(orders, "po_header_id", "left")
+    asked = (places.join(lines, ["po_header_id", "po_line_id"], how).join(dists, ["po_header_id", "po_line_id", "line_location_id"], how)
+             .join(names, "person_id", how).join(orders, "po_header_id", "left")
              .select("line_location_id", "segment1", "line_num", "requestor_name"))
-    return held.join(asked, "line_location_id").select(
+    found = left_join_skewed(held, asked, ["line_location_id"]) if keep_unmatched else held.join(asked, "line_location_id")
+    return found.select(
         D.dmy(F.col("invoice_date")).alias("invoice_date"), "invoice_id", "invoice_num", "invoice_amount", "invoice_description",
         X.login_to_name(F.col("created_by")).alias("created_by"), "hold_lookup_code", "hold_reason", "lookup_description",
         "displayed_field", "line_location_id", "supplier_name", "supplier_num", "business_unit", "note", "segment1", "line_num",
