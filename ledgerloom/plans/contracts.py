@@ -69,6 +69,9 @@ def order_line_links(src: Source, p: Params | None = None, created: bool = False
     return lines.join(heads.select("po_header_id", F.col("segment1").alias("purchase_order_number")), "po_header_id")
 
 
-def match_contracts(orders: DataFrame, contracts: DataFrame, how: str = "left", probes: DataFrame | None = None) -> DataFrame:
-    """Order lines (by ``po_line_id``) with the contracts they draw on."""
-    return or_equi_join(orders, contracts, CONTRACT_LINKS, ["po_line_id"], how, probes, sift=True)
+def match_contracts(orders: DataFrame, contracts: DataFrame, how: str = "left", probes: DataFrame | None = None, sift: bool = False) -> DataFrame:
+    """Order lines (by ``po_line_id``) with the contracts they draw on.
+
+    ``sift`` pays where order lines outnumber contracts by far; it computes the contracts once more.
+    """
+    return or_equi_join(orders, contracts, CONTRACT_LINKS, ["po_line_id"], how, probes, sift)
