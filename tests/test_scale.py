@@ -3,7 +3,7 @@
 import contextlib
 
 from ledgerloom.checks.reports_finance import PLAIN
-from ledgerloom.plans import orders
+from ledgerloom.plans import orders, versions
 from ledgerloom.sources.catalog import StandInSource
 
 
@@ -35,3 +35,16 @@ def test_wide_order_rows_meet_lookups_once(spark, small):
     assert wide and not any("code_combination_id" in x and "po_line_id" in x for x in wide)
     top = next(x for x in text.splitlines() if "Join" in x)
     assert "po_header_id" in top  # the header comes last; accounts, requester, spend and contracts met narrow rows
+
+
+def test_order_audit_writes_no_wide_states(spark, small, monkeypatch):
+    written = []
+
+    def noted(df):
+        written.append(set(df.columns))
+        return cut(df)
+
+    cut = versions.cut
+    monkeypatch.setattr(versions, "cut", noted)
+    versions.order_changes(StandInSource(spark, small, ("li", "po_versions")), PLAIN)
+    assert written and not any({"po_description", "item_description"} <= columns for columns in written)
