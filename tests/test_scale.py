@@ -2,8 +2,11 @@
 
 import contextlib
 
+import pytest
+
 from ledgerloom.checks.reports_finance import PLAIN
-from ledgerloom.plans import orders, versions
+from ledgerloom.functions.params import Params
+from ledgerloom.plans import lists, orders, versions
 from ledgerloom.sources.catalog import StandInSource
 
 
@@ -48,3 +51,10 @@ def test_order_audit_writes_no_wide_states(spark, small, monkeypatch):
     monkeypatch.setattr(versions, "cut", noted)
     versions.order_changes(StandInSource(spark, small, ("li", "po_versions")), PLAIN)
     assert written and not any({"po_description", "item_description"} <= columns for columns in written)
+
+
+@pytest.mark.parametrize("name", ["L08", "L09"])
+def test_element_types_are_gathered_before_the_shuffle(spark, small, name):
+    with shuffled_plans(spark) as plan:
+        text = plan(lists.LISTS[name](StandInSource(spark, small), Params(as_at=PLAIN.as_at, chosen={"description_type": "Allowance"})))
+    assert "HashAggregate(keys=[element_type_id" in text
