@@ -58,3 +58,8 @@ def test_element_types_are_gathered_before_the_shuffle(spark, small, name):
     with shuffled_plans(spark) as plan:
         text = plan(lists.LISTS[name](StandInSource(spark, small), Params(as_at=PLAIN.as_at, chosen={"description_type": "Allowance"})))
     assert "HashAggregate(keys=[element_type_id" in text
+
+
+def test_tasks_are_bounded(spark):
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
