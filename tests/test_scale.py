@@ -6,7 +6,7 @@ import pytest
 
 from ledgerloom.checks.reports_finance import PLAIN
 from ledgerloom.functions.params import Params
-from ledgerloom.plans import lists, orders, versions
+from ledgerloom.plans import ledger, lists, orders, versions
 from ledgerloom.sources.catalog import StandInSource
 
 
@@ -53,6 +53,16 @@ def test_order_audit_writes_no_wide_states(spark, small, monkeypatch):
     assert written and not any({"po_description", "item_description"} <= columns for columns in written)
 
 
+def test_wide_journal_lines_pass_one_join_and_one_order(spark, small):
+    """Repeats are dropped in the ranges of the order, and documents and invoices are met by the entries, not by the lines."""
+    src = StandInSource(spark, small, ("li", "inv"))
+    with shuffled_plans(spark) as plan:
+        text = plan(ledger.ledger_transactions(src, Params(as_at=PLAIN.as_at, chosen={"entity": ["1", "2"]})))
+    exchanges = [x for x in text.splitlines() if "Exchange " in x]
+    assert "rangepartitioning" in exchanges[0] and "hashpartitioning(link" in exchanges[1]
+    assert text.count("rangepartitioning") == 1
+
+
 @pytest.mark.parametrize("name", ["L08", "L09"])
 def test_element_types_are_gathered_before_the_shuffle(spark, small, name):
     with shuffled_plans(spark) as plan:
