@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.llm.common import arrow_groups, binary_key, text_slices, windows, word_bounds, word_hashes
@@ -34,6 +35,8 @@ GROUP = 16_000
 CHUNK = 64
 #: Suffixes at frequent prefixes that follow each other and are looked up together, about.
 STRETCH = 4
+#: Suffixes at one frequent prefix that ask for their windows in one row, at most.
+PACK = 64
 
 _FREQUENT = "array<struct<anchor:bigint,start:int,digests:array<binary>>>"
 _SUFFIXES = f"num long, anchor long, start int, at int, n int, content binary, stretch binary, frequent {_FREQUENT}"
@@ -207,12 +210,31 @@ def _removed(length: int):
     return run
 
 
+_ASKS = "anchor long, asks array<struct<num:bigint,start:int,digests:array<binary>>>"
+
+
+def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The suffixes of a batch's stretches by anchor, at most ``PACK`` in a row."""
+    for batch in batches:
+        stretches = batch.column("frequent")
+        flat, num = pc.list_flatten(stretches), batch.column("num").take(pc.list_parent_indices(stretches))
+        anchor = flat.field("anchor").to_numpy()
+        order = np.argsort(anchor, kind="stable")
+        anchor = anchor[order]
+        begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(anchor)), bool), anchor[1:] != anchor[:-1]]))
+        at = np.arange(len(anchor)) - np.repeat(begin, np.diff(np.append(begin, len(anchor))))
+        first = np.flatnonzero(at % PACK == 0)
+        take = pa.array(order)
+        asks = pa.StructArray.from_arrays([num.take(take), flat.field("start").take(take), flat.field("digests").take(take)], names=["num", "start", "digests"])
+        yield pa.RecordBatch.from_arrays([pa.array(anchor[first], pa.int64()), pa.ListArray.from_arrays(pa.array(np.append(first, len(anchor)), pa.int32()), asks)], names=["anchor", "asks"])
+
+
 def _of_frequent(stretches: DataFrame) -> DataFrame:
     """num, runs: the repeated windows at frequent anchors, told apart by digests.
 
     A stretch that stands in several places is repeated as a whole.  Of the others each window is looked up: digests are
-    counted over the different stretches, and those that stand in several places go back in rows of about ``CHUNK``, so a
-    suffix meets one row where its anchor has few different repeats, and never more rows than it has windows.
+    counted over the different stretches, and those that stand in several places go back in rows of about ``CHUNK``.  Suffixes
+    ask for them in packs: a pack meets one row where its anchor has few different repeats, and never more rows than it has windows.
     """
     place = F.struct("num", "start")
     different = cut(stretches.groupBy("stretch").agg(F.first("frequent").alias("frequent"), F.min(place).alias("place"), (F.min(place) != F.max(place)).alias("several")))
@@ -221,10 +243,17 @@ def _of_frequent(stretches: DataFrame) -> DataFrame:
     buckets = again.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("buckets"))
     bucket = lambda d: F.pmod(F.xxhash64(d), F.col("buckets"))
     known = cut(again.join(buckets, "anchor").groupBy("anchor", bucket(F.col("digest")).alias("bucket")).agg(F.collect_list("digest").alias("known")))
-    asked = (different.filter("not several").select("place.num", F.explode("frequent").alias("s")).select("num", "s.*").join(buckets, "anchor")
-             .withColumn("bucket", F.explode(F.array_distinct(F.transform("digests", bucket)))))
-    starts = F.filter(F.transform("digests", lambda d, i: F.when(F.array_contains("known", d), F.col("start") + i)), lambda at: at.isNotNull())
-    single = asked.join(known, ["anchor", "bucket"]).select("num", F.transform(starts, lambda at: F.struct(at.alias("first"), (at + 1).alias("last"))).alias("runs"))
+    asked = (different.filter("not several").select("place.num", "frequent").mapInArrow(_packs, _ASKS).join(buckets, "anchor")
+             .withColumn("bucket", F.explode(F.array_distinct(F.flatten(F.transform("asks", lambda a: F.transform(a["digests"], bucket)))))))
+    mine = lambda d: F.when(bucket(d) == F.col("bucket"), d)
+    asked = asked.withColumn("asks", F.filter(
+        F.transform("asks", lambda a: F.struct(a["num"].alias("num"), a["start"].alias("start"), F.transform(a["digests"], mine).alias("digests"))),
+        lambda a: F.exists(a["digests"], lambda d: d.isNotNull())))
+    starts = lambda a: F.filter(
+        F.transform(a["digests"], lambda d, i: F.when(F.array_contains("known", d), a["start"] + i)), lambda at: at.isNotNull())
+    runs = lambda a: F.transform(starts(a), lambda at: F.struct(at.alias("first"), (at + 1).alias("last")))
+    answers = F.filter(F.transform("asks", lambda a: F.struct(a["num"].alias("num"), runs(a).alias("runs"))), lambda a: F.size(a["runs"]) > 0)
+    single = asked.join(known, ["anchor", "bucket"]).select(F.explode(answers).alias("a")).select("a.num", "a.runs")
     whole = stretches.join(different.filter("several").select("stretch"), "stretch").select(
         "num", F.array(F.struct(F.col("start").alias("first"), (F.col("start") + F.col("n")).alias("last"))).alias("runs"))
     return whole.unionByName(single)

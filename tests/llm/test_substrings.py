@@ -3,8 +3,10 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
+from ledgerloom.llm import substrings
 from ledgerloom.llm.substrings import repeated_words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -74,3 +76,14 @@ def test_long_text_and_hot_passage(spark):
     df = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], SCHEMA).repartition(3)
     got = found(df, group=40)
     assert got == found(df) and [r[2] for r in got] == [50] * 151 and got[-1][:3] == (1000, 400_051, 50)
+
+
+def test_frequent_suffixes_ask_in_packs():
+    """Suffixes at one anchor share rows of bounded size; none is lost, and what stood in one batch row may part."""
+    kind = pa.list_(pa.struct([("anchor", pa.int64()), ("start", pa.int32()), ("digests", pa.list_(pa.binary()))]))
+    rows = [[{"anchor": 7, "start": i, "digests": [b"a%d" % i, b"b"]}, {"anchor": i % 3, "start": i + 1, "digests": [b"c"]}] for i in range(150)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(150), pa.int64()), pa.array(rows, kind)], names=["num", "frequent"])
+    got = [r for b in substrings._packs(iter([batch.slice(10), batch.slice(0, 0)])) for r in b.to_pylist()]
+    asked = Counter((r["anchor"], a["num"], a["start"], tuple(a["digests"])) for r in got for a in r["asks"])
+    assert asked == Counter((s["anchor"], i, s["start"], tuple(s["digests"])) for i in range(10, 150) for s in rows[i])
+    assert max(len(r["asks"]) for r in got) <= substrings.PACK and len(got) == 3 + 3
