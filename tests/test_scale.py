@@ -6,7 +6,7 @@ import pytest
 
 from ledgerloom.checks.reports_finance import PLAIN
 from ledgerloom.functions.params import Params
-from ledgerloom.plans import ledger, lists, orders, versions
+from ledgerloom.plans import invoices, ledger, lists, orders, versions
 from ledgerloom.sources.catalog import StandInSource
 
 
@@ -63,6 +63,17 @@ def test_wide_journal_lines_pass_one_join_and_one_order(spark, small):
     assert text.count("rangepartitioning") == 1
 
 
+def test_wide_invoice_lines_meet_lookups_in_one_layout(spark, small):
+    """Orders meet the distributions and suppliers the headers; invoice lines are shuffled by invoice, then by the order."""
+    src = StandInSource(spark, small, ("li", "inv"))
+    with shuffled_plans(spark) as plan:
+        text = plan(invoices.invoice_entry_lines(src, PLAIN))
+    top = [x for x in text.splitlines() if "Exchange " in x][:2]
+    assert "rangepartitioning(invoice_num" in top[0] and "hashpartitioning(invoice_id" in top[1]
+    joins = [x for x in text.splitlines() if "SortMergeJoin" in x]
+    assert "_d_line" in joins[0] and "invoice_id" in joins[1] and "_d_line" not in joins[1]
+
+
 @pytest.mark.parametrize("name", ["L08", "L09"])
 def test_element_types_are_gathered_before_the_shuffle(spark, small, name):
     with shuffled_plans(spark) as plan:
