@@ -31,12 +31,12 @@ GRAM = 14
 #: Suffixes of a group, about; a prefix that a quarter as many share is lengthened.
 GROUP = 16_000
 
-#: Repeated windows of a frequent prefix that are held together in one row, about.
-CHUNK = 64
 #: Suffixes at frequent prefixes that follow each other and are looked up together, about.
 STRETCH = 4
 #: Suffixes at one frequent prefix that ask for their windows in one row, at most.
 PACK = 64
+#: Places of one window that are held together in one row, at most.
+PLACES = 1024
 
 _FREQUENT = "array<struct<anchor:bigint,start:int,digests:array<binary>>>"
 _SUFFIXES = f"num long, anchor long, start int, at int, n int, content binary, stretch binary, frequent {_FREQUENT}"
@@ -210,9 +210,6 @@ def _removed(length: int):
     return run
 
 
-_ASKS = "anchor long, asks array<struct<num:bigint,start:int,digests:array<binary>>>"
-
-
 def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The suffixes of a batch's stretches by anchor, at most ``PACK`` in a row."""
     for batch in batches:
@@ -229,31 +226,62 @@ def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(anchor[first], pa.int64()), pa.ListArray.from_arrays(pa.array(np.append(first, len(anchor)), pa.int32()), asks)], names=["anchor", "asks"])
 
 
+_PLACES = "anchor long, digest binary, places array<struct<num:bigint,start:int>>"
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different windows of a batch's packs, each with the places where it stands, at most ``PLACES`` in a row."""
+    for batch in batches:
+        asks = batch.column("asks")
+        flat, anchor = pc.list_flatten(asks), batch.column("anchor").take(pc.list_parent_indices(asks)).to_numpy()
+        suffix, digests = pc.list_parent_indices(flat.field("digests")).to_numpy(), pc.list_flatten(flat.field("digests"))
+        halves = np.frombuffer(b"".join(digests.to_pylist()), np.uint64).reshape(-1, 2)
+        start = flat.field("start").to_numpy()[suffix] + np.arange(len(suffix)) - np.searchsorted(suffix, suffix)
+        keys = (halves[:, 0], halves[:, 1], anchor[suffix])
+        order = np.lexsort(keys)
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+        begin = np.flatnonzero(fresh)
+        at = np.arange(len(order)) - np.repeat(begin, np.diff(np.append(begin, len(order))))
+        first = np.flatnonzero(at % PLACES == 0)
+        places = pa.StructArray.from_arrays([flat.field("num").take(pa.array(suffix[order])), pa.array(start[order], pa.int32())], names=["num", "start"])
+        yield pa.RecordBatch.from_arrays([pa.array(anchor[suffix][order[first]], pa.int64()), digests.take(pa.array(order[first])),
+                                          pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), places)], names=["anchor", "digest", "places"])
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The places of a batch as runs of windows that follow each other, one row per text."""
+    for batch in batches:
+        flat = pc.list_flatten(batch.column("places"))
+        num, start = flat.field("num").to_numpy(), flat.field("start").to_numpy()
+        order = np.lexsort((start, num))
+        num, start = num[order], start[order]
+        other = np.ones(len(num), bool)
+        other[1:] = num[1:] != num[:-1]
+        gap = other.copy()
+        gap[1:] |= start[1:] != start[:-1] + 1
+        begin = np.flatnonzero(gap)
+        runs = pa.StructArray.from_arrays([pa.array(start[begin], pa.int32()), pa.array(start[np.append(begin[1:], len(num)) - 1] + 1, pa.int32())] if len(num) else
+                                          [pa.array([], pa.int32())] * 2, names=["first", "last"])
+        ends = np.append(np.flatnonzero(other[begin]), len(begin))
+        yield pa.RecordBatch.from_arrays([pa.array(num[other], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), runs)], names=["num", "runs"])
+
+
 def _of_frequent(stretches: DataFrame) -> DataFrame:
     """num, runs: the repeated windows at frequent anchors, told apart by digests.
 
-    A stretch that stands in several places is repeated as a whole.  Of the others each window is looked up: digests are
-    counted over the different stretches, and those that stand in several places go back in rows of about ``CHUNK``.  Suffixes
-    ask for them in packs: a pack meets one row where its anchor has few different repeats, and never more rows than it has windows.
+    A stretch that stands in several places is repeated as a whole.  The others are looked up by window: each batch has one row
+    for a window, however often it stands there, with its places; their numbers are added up, and the places of the windows that
+    stand in several come back as runs, one row per text and batch.  So the rows are at most the different windows of the batches.
     """
     place = F.struct("num", "start")
     different = cut(stretches.groupBy("stretch").agg(F.first("frequent").alias("frequent"), F.min(place).alias("place"), (F.min(place) != F.max(place)).alias("several")))
-    windows = different.select("several", F.explode("frequent").alias("s")).select("several", "s.anchor", F.explode("s.digests").alias("digest"))
-    again = cut(windows.groupBy("anchor", "digest").agg((F.max("several") | (F.count(F.lit(1)) > 1)).alias("found")).filter("found").select("anchor", "digest"))
-    buckets = again.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("buckets"))
-    bucket = lambda d: F.pmod(F.xxhash64(d), F.col("buckets"))
-    known = cut(again.join(buckets, "anchor").groupBy("anchor", bucket(F.col("digest")).alias("bucket")).agg(F.collect_list("digest").alias("known")))
-    asked = (different.filter("not several").select("place.num", "frequent").mapInArrow(_packs, _ASKS).join(buckets, "anchor")
-             .withColumn("bucket", F.explode(F.array_distinct(F.flatten(F.transform("asks", lambda a: F.transform(a["digests"], bucket)))))))
-    mine = lambda d: F.when(bucket(d) == F.col("bucket"), d)
-    asked = asked.withColumn("asks", F.filter(
-        F.transform("asks", lambda a: F.struct(a["num"].alias("num"), a["start"].alias("start"), F.transform(a["digests"], mine).alias("digests"))),
-        lambda a: F.exists(a["digests"], lambda d: d.isNotNull())))
-    starts = lambda a: F.filter(
-        F.transform(a["digests"], lambda d, i: F.when(F.array_contains("known", d), a["start"] + i)), lambda at: at.isNotNull())
-    runs = lambda a: F.transform(starts(a), lambda at: F.struct(at.alias("first"), (at + 1).alias("last")))
-    answers = F.filter(F.transform("asks", lambda a: F.struct(a["num"].alias("num"), runs(a).alias("runs"))), lambda a: F.size(a["runs"]) > 0)
-    single = asked.join(known, ["anchor", "bucket"]).select(F.explode(answers).alias("a")).select("a.num", "a.runs")
+    # one function and so one Python worker a task; the places lie written before others read them
+    windows = lambda df: df.select("place.num", "frequent").mapInArrow(lambda batches: _places(_packs(batches)), _PLACES)
+    mine = windows(different.filter("not several"))
+    times = mine.select("anchor", "digest", F.size("places").alias("n")).unionByName(windows(different.filter("several")).select("anchor", "digest", F.lit(2).alias("n")))
+    again = cut(times.groupBy("anchor", "digest").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor", "digest"))
+    single = cut(mine.join(again, ["anchor", "digest"]).select("places")).mapInArrow(_runs, "num long, runs array<struct<first:int,last:int>>")
     whole = stretches.join(different.filter("several").select("stretch"), "stretch").select(
         "num", F.array(F.struct(F.col("start").alias("first"), (F.col("start") + F.col("n")).alias("last"))).alias("runs"))
     return whole.unionByName(single)

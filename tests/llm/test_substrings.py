@@ -87,3 +87,30 @@ def test_frequent_suffixes_ask_in_packs():
     asked = Counter((r["anchor"], a["num"], a["start"], tuple(a["digests"])) for r in got for a in r["asks"])
     assert asked == Counter((s["anchor"], i, s["start"], tuple(s["digests"])) for i in range(10, 150) for s in rows[i])
     assert max(len(r["asks"]) for r in got) <= substrings.PACK and len(got) == 3 + 3
+
+
+def test_windows_of_packs_stand_once():
+    """A window that many suffixes share is one row with all its places, cut where they are too many; places come back as runs."""
+    kind = pa.list_(pa.struct([("num", pa.int64()), ("start", pa.int32()), ("digests", pa.list_(pa.binary()))]))
+    same, rest = b"s" * 16, [b"%016d" % i for i in range(300)]
+    rows = [[{"num": i, "start": 10 * k, "digests": [same, rest[i], same]} for k in range(5)] for i in range(300)] + [[]]
+    batch = pa.RecordBatch.from_arrays([pa.array([i % 2 for i in range(301)], pa.int64()), pa.array(rows, kind)], names=["anchor", "asks"])
+    made = list(substrings._places(iter([batch.slice(100), batch.slice(0, 0)])))
+    got = [r for b in made for r in b.to_pylist()]
+    stand = Counter((r["anchor"], r["digest"], p["num"], p["start"]) for r in got for p in r["places"])
+    assert stand == Counter((i % 2, d, i, 10 * k + o) for i in range(100, 300) for k in range(5) for o, d in enumerate((same, rest[i], same)))
+    assert max(len(r["places"]) for r in got) <= substrings.PLACES and len(got) == 200 + 2
+    runs = [(r["num"], tuple((x["first"], x["last"]) for x in r["runs"])) for b in substrings._runs(iter(made)) for r in b.to_pylist()]
+    assert sorted(runs) == [(i, tuple((10 * k, 10 * k + 3) for k in range(5))) for i in range(100, 300)]
+
+
+def test_line_that_fills_many_texts(spark):
+    """A line that stands hundreds of times in each of many different texts, and once in others, at frequent prefixes."""
+    random.seed(8)
+    line = ["never", "the", "less"]
+    rows = []
+    for i in range(60):
+        text = [f"a{i}", f"b{i}", *line * random.randrange(1, 90), f"c{i}", *line * random.randrange(4), random.choice(["end", f"e{i}"])]
+        rows.append((i, " ".join(text)))
+    df = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows + rows[:3]], SCHEMA).repartition(5)
+    assert found(df, length=8, gram=3, group=40) == brute(rows + rows[:3], 8)
