@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.params import Params
 from ledgerloom.operators.relational import pack_texts
-from ledgerloom.plans import ledger, orders, versions
+from ledgerloom.plans import invoices, ledger, orders, versions
 from ledgerloom.session import cut, scratch, step
 from ledgerloom.sources.catalog import StandInSource
 from tests.conftest import rows
@@ -60,7 +60,7 @@ def test_stand_ins_outlive_the_step_that_asks_first(spark, small):
 
 
 @pytest.mark.parametrize("report, most", [(orders.order_detail, 4), (orders.contractor_orders, 3), (orders.orders_with_contracts, 3), (orders.invoices_by_order, 3),
-                                          (ledger.ledger_transactions, 4)])
+                                          (ledger.ledger_transactions, 4), (invoices.invoice_entry_lines, 4)])
 def test_reports_keep_few_intermediates(spark, small, report, most):
     """The parts are gone when they have met; the stand-ins take two of the folders."""
     with scratch(spark) as folder:
